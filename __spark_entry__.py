@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 import oracle_queries as OQ
 from tidewater.operators import scd2 as H
+from tidewater.functions.expressions import parse_multi_ts
+from tidewater.operators.clean import normalize_columns
+from tidewater.plans import ingest as I
 from tidewater.plans.customers import customer_metrics, reference_date
 from tidewater.plans.model import Medallion
 from tidewater.plans.products import product_metrics, product_rates
@@ -32,6 +35,29 @@ def _events_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.scd2(ev, ["user_id"], "ts", ["event_type"])
 
 
+def _landing(spark: SparkSession, sf_dir: str, **kw) -> str:
+    shared_dir(spark)
+    return I.write_landing(spark, sf_dir, **kw)
+
+
+def _parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = normalize_columns(I.untyped_lines(spark, _landing(spark, sf_dir)))
+    return raw.select(
+        F.col("order_id").alias("order_id_text"),
+        F.col("order_item_id").alias("order_item_id_text"),
+        F.col("order_date_dateorders").alias("order_date_text"),
+        parse_multi_ts("order_date_dateorders").alias("order_date"),
+        F.col("shipping_date_dateorders").alias("shipping_date_text"),
+        parse_multi_ts("shipping_date_dateorders").alias("shipping_date"))
+
+
+def _latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    enc = "ISO-8859-1"
+    path = _landing(spark, sf_dir, encoding=enc, name="landing-latin1",
+                    transform=lambda d: d.withColumn("customer_fname", F.concat("customer_fname", F.lit("é"))))
+    return I.cleaned_lines(spark, path, encoding=enc)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: customers360 (RFM segmentation) over the sf0.001 tables."""
     return _m(spark, SMOKE_DIR).customers360()
@@ -54,6 +80,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_customers": lambda s, d: _m(s, d).dim_customers,
         "scd2_current": lambda s, d: H.current(_events_history(s, d)),
         "scd2_closed": lambda s, d: H.closed(_events_history(s, d)),
+        "csv_batch_untyped": lambda s, d: I.untyped_lines(s, _landing(s, d)),
+        "normalize_columns": lambda s, d: normalize_columns(I.untyped_lines(s, _landing(s, d))),
+        "parse_multi_ts": _parse_ts,
+        "clean_lines": lambda s, d: I.cleaned_lines(s, _landing(s, d)),
+        "csv_batch_latin1": _latin1,
+        "expect_or_drop": lambda s, d: I.bronze_batch(s, _landing(s, d)),
+        "quarantine_malformed": lambda s, d: I.quarantine_batch(s, _landing(s, d)),
+        "expectation_metrics": lambda s, d: I.rule_metrics_batch(s, _landing(s, d)),
     }
 
 

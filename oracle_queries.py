@@ -34,7 +34,7 @@ JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey
 """
 
-# typed model columns; {date_o}/{date_s} are filled per use
+# typed landing columns of every order line
 MODEL = f"""
 SELECT
   CASE prio WHEN 1 THEN 'DEBIT' WHEN 2 THEN 'CASH' WHEN 3 THEN 'PAYMENT' ELSE 'TRANSFER' END AS type,
@@ -406,3 +406,106 @@ QUERIES = {
     "scd2_current": f"SELECT * FROM ({SCD2_EVENTS}) h WHERE __END_AT IS NULL",
     "scd2_closed": f"SELECT * FROM ({SCD2_EVENTS}) h WHERE __END_AT IS NOT NULL",
 }
+
+# ---------------------------------------------------------------------------
+# Landing CSV path: the same lines as text, with the injected defects.
+
+RAW_HEADERS = [
+    "Type", "Days for shipping (real)", "Days for shipment (scheduled)", "Benefit per order",
+    "Sales per customer", "Delivery Status", "Late_delivery_risk", "Category Id", "Category Name",
+    "Customer City", "Customer Country", "Customer Email", "Customer Fname", "Customer Id",
+    "Customer Lname", "Customer Password", "Customer Segment", "Customer State", "Customer Street",
+    "Customer Zipcode", "Department Id", "Department Name", "Latitude", "Longitude", "Market",
+    "Order City", "Order Country", "Order Customer Id", "order date (DateOrders)", "Order Id",
+    "Order Item Cardprod Id", "Order Item Discount", "Order Item Discount Rate", "Order Item Id",
+    "Order Item Product Price", "Order Item Profit Ratio", "Order Item Quantity", "Sales",
+    "Order Item Total", "Order Profit Per Order", "Order Region", "Order State", "Order Status",
+    "Order Zipcode", "Product Card Id", "Product Category Id", "Product Description",
+    "Product Image", "Product Name", "Product Price", "Product Status",
+    "shipping date (DateOrders)", "Shipping Mode",
+]
+
+DEFECT = ("CASE (l_orderkey + l_linenumber) % 97 WHEN 0 THEN 'zero_quantity' "
+          "WHEN 1 THEN 'bad_order_date' WHEN 2 THEN 'missing_status' WHEN 3 THEN 'zero_price' "
+          "WHEN 4 THEN 'text_in_int' WHEN 5 THEN 'bad_ship_date' END")
+
+DEFECTED = f"SELECT *, {DEFECT} AS _defect FROM ({MODEL}) mm"
+
+_CLEAN_OVERRIDES = {
+    "order_item_quantity": "CASE WHEN _defect = 'zero_quantity' THEN 0 ELSE order_item_quantity END",
+    "order_date_dateorders": "CASE WHEN _defect = 'bad_order_date' THEN NULL ELSE order_date_dateorders END",
+    "order_status": "CASE WHEN _defect = 'missing_status' THEN NULL ELSE order_status END",
+    "order_item_product_price": (f"CASE WHEN _defect = 'zero_price' THEN CAST(0 AS {MONEY}) "
+                                 "ELSE order_item_product_price END"),
+    "order_id": "CASE WHEN _defect = 'text_in_int' THEN NULL ELSE order_id END",
+    "shipping_date_dateorders": "CASE WHEN _defect = 'bad_ship_date' THEN NULL ELSE shipping_date_dateorders END",
+    "late_delivery_risk": "(late_delivery_risk = 1)",
+    "product_status": "(product_status = 1)",
+}
+
+
+def _clean_select(overrides=None) -> str:
+    ov = dict(_CLEAN_OVERRIDES)
+    ov.update(overrides or {})
+    return ", ".join(f"{ov.get(c, c)} AS {c}" for c in BRONZE_NAMES)
+
+
+CLEAN_LINES = (f"SELECT {_clean_select()}, coalesce(_defect = 'text_in_int', false) AS malformed "
+               f"FROM ({DEFECTED}) dd")
+CLEAN_LINES_LATIN1 = (f"SELECT {_clean_select({'customer_fname': "customer_fname || 'é'"})}, "
+                      f"coalesce(_defect = 'text_in_int', false) AS malformed FROM ({DEFECTED}) dd")
+
+_ALL_RULES = " AND ".join(f"coalesce({r}, false)" for r in RULES_SQL)
+BRONZE_FROM_LANDING = (f"SELECT {', '.join(BRONZE_NAMES)} FROM ({CLEAN_LINES}) cl "
+                       f"WHERE NOT malformed AND {_ALL_RULES}")
+_FAILED = ", ".join(["CASE WHEN malformed THEN 'malformed' END"]
+                    + [f"CASE WHEN NOT coalesce({r}, false) THEN '{n}' END"
+                       for r, n in zip(RULES_SQL, RULE_NAMES)])
+QUARANTINE = (f"SELECT {', '.join(BRONZE_NAMES)}, concat_ws(',', {_FAILED}) AS failed_rules "
+              f"FROM ({CLEAN_LINES}) cl WHERE malformed OR NOT ({_ALL_RULES})")
+RULE_METRICS = ("SELECT count(*) AS input_rows, count_if(malformed) AS malformed, "
+                + ", ".join(f"count_if(NOT coalesce({r}, false)) AS {n}" for r, n in zip(RULES_SQL, RULE_NAMES))
+                + f" FROM ({CLEAN_LINES}) cl")
+
+_DATE_TEXT = ("CASE l_orderkey % 3 WHEN 0 THEN strftime({c}, '%-m/%-d/%Y %-H:%M') "
+              "WHEN 1 THEN strftime({c}, '%m/%d/%Y %H:%M') ELSE strftime({c}, '%d-%m-%Y %H:%M') END")
+_TEXT_OVERRIDES = {
+    "order_item_quantity": "CASE WHEN _defect = 'zero_quantity' THEN '0' ELSE CAST(order_item_quantity AS VARCHAR) END",
+    "order_date_dateorders": ("CASE WHEN _defect = 'bad_order_date' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE "
+                              + _DATE_TEXT.format(c="o_orderdate") + " END"),
+    "order_status": "CASE WHEN _defect = 'missing_status' THEN NULL ELSE order_status END",
+    "order_item_product_price": ("CASE WHEN _defect = 'zero_price' THEN '0.0000' "
+                                 "ELSE CAST(order_item_product_price AS VARCHAR) END"),
+    "order_id": "CASE WHEN _defect = 'text_in_int' THEN 'X' || CAST(order_id AS VARCHAR) ELSE CAST(order_id AS VARCHAR) END",
+    "shipping_date_dateorders": ("CASE WHEN _defect = 'bad_ship_date' THEN 'not a date' ELSE "
+                                 + _DATE_TEXT.format(c="l_shipdate") + " END"),
+}
+
+
+def _text_select(names: list[str]) -> str:
+    return ", ".join(f"{_TEXT_OVERRIDES.get(c, f'CAST({c} AS VARCHAR)')} AS \"{n}\""
+                     for c, n in zip(RAW_NAMES, names))
+
+
+UNTYPED_LINES = f"SELECT {_text_select(RAW_HEADERS)} FROM ({DEFECTED}) dd"
+NORMALIZED_LINES = f"SELECT {_text_select(RAW_NAMES)} FROM ({DEFECTED}) dd"
+
+PARSE_MULTI_TS = f"""
+SELECT order_id AS order_id_text, order_item_id AS order_item_id_text,
+       order_date_dateorders AS order_date_text,
+       CASE WHEN _defect = 'bad_order_date' THEN NULL ELSE o_orderdate END AS order_date,
+       shipping_date_dateorders AS shipping_date_text,
+       CASE WHEN _defect = 'bad_ship_date' THEN NULL ELSE l_shipdate END AS shipping_date
+FROM (SELECT {_text_select(RAW_NAMES)}, _defect, o_orderdate, l_shipdate FROM ({DEFECTED}) dd) t
+"""
+
+QUERIES.update({
+    "csv_batch_untyped": UNTYPED_LINES,
+    "normalize_columns": NORMALIZED_LINES,
+    "parse_multi_ts": PARSE_MULTI_TS,
+    "clean_lines": CLEAN_LINES,
+    "csv_batch_latin1": CLEAN_LINES_LATIN1,
+    "expect_or_drop": BRONZE_FROM_LANDING,
+    "quarantine_malformed": QUARANTINE,
+    "expectation_metrics": RULE_METRICS,
+})
