@@ -20,7 +20,11 @@ from tidewater.plans import ingest as I
 from tidewater.plans.customers import customer_metrics, reference_date
 from tidewater.plans.model import Medallion
 from tidewater.plans.products import product_metrics, product_rates
-from tidewater.session import shared_dir, table_path
+from tidewater.plans.pipeline import refresh_all
+from tidewater.session import scratch_path, shared_dir, table_path
+from tidewater.streaming import bronze as SB
+from tidewater.streaming import silver as SS
+from tidewater.streaming.scd2_refresh import read_dimension, start_scd2_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -58,6 +62,49 @@ def _latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.cleaned_lines(spark, path, encoding=enc)
 
 
+def _stream_bronze(spark: SparkSession, sf_dir: str) -> str:
+    landing = _landing(spark, sf_dir)
+    out = scratch_path(spark, "bronze")
+    SB.start_bronze(spark, landing, out, scratch_path(spark, "cp-bronze")).awaitTermination()
+    return out
+
+
+def _stream_silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = _stream_bronze(spark, sf_dir)
+    out = scratch_path(spark, "silver-orders")
+    SS.start_silver_orders(spark, bronze, out, scratch_path(spark, "cp-silver")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events split into 10 files by time range, fed one file per micro-batch."""
+    ev = spark.read.parquet(table_path(sf_dir, "events")).select("user_id", "ts", "event_type", "value")
+    src = scratch_path(spark, "events-landing")
+    ev.repartitionByRange(10, "ts").write.parquet(src)
+    changes = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    dim = scratch_path(spark, "dim-events")
+    start_scd2_stream(changes, scratch_path(spark, "events-log"), dim, scratch_path(spark, "cp-dim"),
+                      ["user_id"], "ts", ["event_type"], key_buckets=16).awaitTermination()
+    return read_dimension(spark, dim)
+
+
+_PIPELINES: dict = {}
+
+
+def _pipeline(spark: SparkSession, sf_dir: str):
+    """Full medallion refresh over landing files (dimension changes ordered by ship date)."""
+    key = (id(spark), sf_dir)
+    if key not in _PIPELINES:
+        landing = _landing(spark, sf_dir)
+        _PIPELINES[key] = refresh_all(spark, landing, scratch_path(spark, "pipeline"),
+                                      sequence_col="shipping_date_dateorders")
+    return _PIPELINES[key]
+
+
+def _pipe_table(name: str, audit: str):
+    return lambda s, d: s.read.parquet(getattr(_pipeline(s, d), name)).drop(audit)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: customers360 (RFM segmentation) over the sf0.001 tables."""
     return _m(spark, SMOKE_DIR).customers360()
@@ -88,6 +135,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_or_drop": lambda s, d: I.bronze_batch(s, _landing(s, d)),
         "quarantine_malformed": lambda s, d: I.quarantine_batch(s, _landing(s, d)),
         "expectation_metrics": lambda s, d: I.rule_metrics_batch(s, _landing(s, d)),
+        "stream_csv_to_bronze": lambda s, d: s.read.parquet(_stream_bronze(s, d)).drop("ingested_at"),
+        "stream_silver_orders": _stream_silver_orders,
+        "scd2_stream": _scd2_stream,
+        "pipeline_orders_enriched": _pipe_table("orders_enriched", "enriched_at"),
+        "pipeline_customers360": _pipe_table("customers360", "processed_at"),
+        "pipeline_products360": _pipe_table("products360", "processed_at"),
     }
 
 

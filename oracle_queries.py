@@ -162,20 +162,8 @@ SILVER_ORDER_MAP = [
     ("late_delivery_risk", "late_delivery_risk"), ("shipping_mode", "shipping_mode"),
     ("shipping_date_dateorders", "shipping_date"),
 ]
-SILVER_ORDERS = f"SELECT {', '.join(f'{a} AS {b}' for a, b in SILVER_ORDER_MAP)} FROM ({BRONZE}) br"
 
-SILVER_CUSTOMERS = f"""
-SELECT customer_id, customer_fname AS customer_firstname, customer_lname AS customer_lastname,
-       customer_segment, sha256(customer_email) AS email_masked,
-       CAST(NULL AS VARCHAR) AS password_masked, customer_zipcode, ingested_at AS transformed_at
-FROM ({BRONZE}) br
-"""
 
-SILVER_PRODUCTS = f"""
-SELECT product_card_id AS product_id, category_id, category_name, product_name, product_price,
-       product_status AS is_notavailable, ingested_at AS transformed_at
-FROM ({BRONZE}) br
-"""
 
 
 def scd2_sql(src: str, keys: list[str], seq: str, tracked: list[str], payload: list[str],
@@ -221,21 +209,9 @@ def _tb(tracked, payload):
     return tracked + [c for c in payload if c not in tracked]
 
 
-DIM_CUSTOMERS = scd2_sql(SILVER_CUSTOMERS, ["customer_id"], "transformed_at", CUST_TRACKED,
-                         CUST_PAYLOAD, _tb(CUST_TRACKED, CUST_PAYLOAD))
-DIM_PRODUCTS = scd2_sql(SILVER_PRODUCTS, ["product_id"], "transformed_at", PROD_TRACKED,
-                        PROD_PAYLOAD, _tb(PROD_TRACKED, PROD_PAYLOAD))
 
 SILVER_ORDER_NAMES = [b for _, b in SILVER_ORDER_MAP]
 
-ORDERS_ENRICHED = f"""
-SELECT {", ".join("o." + c for c in SILVER_ORDER_NAMES)},
-       c.customer_firstname, c.customer_lastname, c.customer_segment, c.customer_zipcode,
-       p.product_name, p.category_id, p.category_name, p.is_notavailable
-FROM ({SILVER_ORDERS}) o
-LEFT JOIN (SELECT * FROM ({DIM_CUSTOMERS}) WHERE __END_AT IS NULL) c ON o.customer_id = c.customer_id
-LEFT JOIN (SELECT * FROM ({DIM_PRODUCTS}) WHERE __END_AT IS NULL) p ON o.product_id = p.product_id
-"""
 
 CKEYS = ["customer_id", "customer_firstname", "customer_lastname", "customer_segment", "customer_zipcode"]
 _CK = ", ".join(CKEYS)
@@ -246,61 +222,7 @@ def _dbl(expr: str) -> str:
     return f"CAST(CAST({expr} AS {MONEY}) AS DOUBLE)"
 
 
-CUSTOMER_METRICS = f"""
-WITH e AS ({ORDERS_ENRICHED}),
-agg AS (
-  SELECT {_CK}, count(order_id) AS total_orders,
-         {_dbl('sum(line_total)')} AS total_revenue, {_dbl('sum(profit_per_order)')} AS total_profit,
-         max(order_date) AS latest_order_date, min(order_date) AS first_order_date
-  FROM e GROUP BY {_CK}),
-allc AS (SELECT DISTINCT {_CK} FROM e),
-ref AS (SELECT CAST(max(order_date) + INTERVAL 1 MONTH AS DATE) AS rd FROM e),
-cm AS (
-  SELECT {", ".join("c." + x for x in CKEYS)},
-         coalesce(m.total_orders, 0) AS total_orders,
-         coalesce(m.total_revenue, 0.0) AS total_revenue,
-         coalesce(m.total_profit, 0.0) AS total_profit,
-         m.latest_order_date, m.first_order_date
-  FROM allc c LEFT JOIN agg m ON c.customer_id = m.customer_id)
-SELECT cm.*,
-       CAST(CASE WHEN latest_order_date IS NOT NULL
-                 THEN date_diff('day', CAST(latest_order_date AS DATE), rd) ELSE 999999 END AS INTEGER)
-         AS days_since_last_order,
-       CASE WHEN total_orders > 0 THEN total_revenue / total_orders ELSE 0.0 END AS avg_order_value
-FROM cm, ref
-"""
 
-CUSTOMERS360 = f"""
-WITH q AS (
-  SELECT *,
-    ntile(5) OVER (ORDER BY days_since_last_order ASC NULLS FIRST, {_CK_ORDER}) AS rq,
-    ntile(5) OVER (ORDER BY total_orders DESC NULLS LAST, {_CK_ORDER}) AS fq,
-    ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_CK_ORDER}) AS mq
-  FROM ({CUSTOMER_METRICS}) cm),
-s AS (
-  SELECT *,
-    CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - rq END AS INTEGER) AS recency_score,
-    CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - fq END AS INTEGER) AS frequency_score,
-    CAST(CASE WHEN total_revenue = 0 THEN 1 ELSE 6 - mq END AS INTEGER) AS monetary_score
-  FROM q)
-SELECT {_CK}, total_orders, total_revenue, total_profit, avg_order_value,
-       latest_order_date, first_order_date, days_since_last_order,
-       recency_score, frequency_score, monetary_score,
-       CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR)
-         AS rfm_score,
-       CASE
-         WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'Champions'
-         WHEN recency_score >= 3 AND frequency_score >= 3 AND monetary_score >= 3 THEN 'Loyal Customers'
-         WHEN recency_score >= 4 AND frequency_score BETWEEN 2 AND 3 THEN 'Potential Loyalists'
-         WHEN recency_score >= 4 AND frequency_score <= 1 THEN 'New Customers'
-         WHEN recency_score <= 2 AND frequency_score >= 3 AND monetary_score >= 3 THEN 'At Risk'
-         WHEN recency_score <= 2 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'Cannot Lose Them'
-         WHEN recency_score <= 2 AND frequency_score >= 2 THEN 'Hibernating'
-         WHEN recency_score <= 1 AND total_orders > 0 THEN 'Lost Customers'
-         WHEN total_orders = 0 THEN 'Prospects'
-         ELSE 'Other' END AS rfm_segment
-FROM s
-"""
 
 PKEYS = ["product_id", "product_name", "category_name", "product_price", "is_notavailable"]
 _PK = ", ".join(PKEYS)
@@ -311,78 +233,186 @@ def _avg(expr: str) -> str:
     return f"CAST(CAST(sum({expr}) AS {MONEY}) AS DOUBLE) / CAST(count({expr}) AS DOUBLE)"
 
 
-PRODUCT_METRICS = f"""
-SELECT {_PK},
-  count(order_id) AS total_orders,
-  CAST(sum(quantity) AS BIGINT) AS units_sold,
-  {_dbl('sum(line_total)')} AS total_revenue,
-  {_dbl('sum(profit_per_order)')} AS total_profit,
-  {_avg('line_total')} AS avg_order_value,
-  {_avg('profit_per_order')} AS avg_profit_per_order,
-  {_avg('discount_rate')} AS avg_discount_rate,
-  {_avg('profit_ratio')} AS avg_profit_ratio,
-  {_avg('product_price')} AS avg_price_charged,
-  count(DISTINCT customer_id) AS unique_customers,
-  min(order_date) AS first_order_date,
-  max(order_date) AS last_order_date,
-  count(CASE WHEN customer_segment = 'Consumer' THEN 1 END) AS consumer_orders,
-  count(CASE WHEN customer_segment = 'Corporate' THEN 1 END) AS corporate_orders,
-  count(CASE WHEN customer_segment = 'Home Office' THEN 1 END) AS home_office_orders,
-  count(CASE WHEN order_status = 'COMPLETE' THEN 1 END) AS completed_orders,
-  count(CASE WHEN order_status IN ('CANCELED', 'CLOSED') THEN 1 END) AS canceled_orders,
-  count(CASE WHEN order_status = 'SUSPECTED_FRAUD' THEN 1 END) AS fraud_orders,
-  count(CASE WHEN order_status IN ('PENDING', 'PROCESSING', 'ON_HOLD', 'PAYMENT_REVIEW') THEN 1 END)
-    AS pending_orders,
-  {_avg("date_diff('day', CAST(order_date AS DATE), CAST(shipping_date AS DATE))")} AS avg_order_cycle_days,
-  {_avg('actual_shipping_days')} AS avg_shipping_days,
-  CAST(sum(CASE WHEN late_delivery_risk = true THEN 1 ELSE 0 END) AS BIGINT) AS late_deliveries
-FROM ({ORDERS_ENRICHED}) e
-GROUP BY {_PK}
-"""
 
-PRODUCT_RATES = f"""
-SELECT *,
-  CASE WHEN total_orders > 0 THEN completed_orders / total_orders ELSE 0 END AS order_completion_rate,
-  CASE WHEN total_orders > 0 THEN canceled_orders / total_orders ELSE 0 END AS order_cancellation_rate,
-  CASE WHEN total_orders > 0 THEN fraud_orders / total_orders ELSE 0 END AS order_fraud_rate,
-  CASE WHEN total_orders > 0 THEN pending_orders / total_orders ELSE 0 END AS order_pending_rate,
-  CAST(date_diff('day', CAST(first_order_date AS DATE), CAST(last_order_date AS DATE)) AS INTEGER)
-    AS days_in_catalog
-FROM ({PRODUCT_METRICS}) pm
-"""
 
-PRODUCTS360 = f"""
-WITH q AS (
-  SELECT *,
-    CAST(ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_PK_ORDER}) AS INTEGER) AS revenue_quintile,
-    CAST(ntile(4) OVER (ORDER BY avg_profit_per_order DESC NULLS LAST, {_PK_ORDER}) AS INTEGER)
-      AS margin_quartile
-  FROM ({PRODUCT_RATES}) r),
-s AS (
-  SELECT *,
-    CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - revenue_quintile END AS INTEGER) AS revenue_score,
-    CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 5 - margin_quartile END AS INTEGER) AS margin_score
-  FROM q),
-t AS (
-  SELECT *,
-    CASE WHEN revenue_score >= 4 THEN 'Star Products' WHEN revenue_score >= 3 THEN 'Strong Performers'
-         WHEN revenue_score >= 2 THEN 'Steady Performers' WHEN revenue_score >= 1 THEN 'Weak Performers'
-         ELSE 'Slow Movers' END AS performance_tier,
-    CASE WHEN margin_score >= 3 THEN 'High Margin' WHEN margin_score >= 2 THEN 'Medium Margin'
-         WHEN margin_score >= 1 THEN 'Low Margin' ELSE 'Very Low Margin' END AS margin_category
-  FROM s)
-SELECT *,
-  CASE WHEN performance_tier IN ('Star Products', 'Strong Performers') AND order_completion_rate >= 0.9
-            AND order_cancellation_rate < 0.05 THEN 'Healthy'
-       WHEN order_cancellation_rate > 0.10 OR order_fraud_rate > 0.05 OR order_completion_rate < 0.8
-            THEN 'At Risk'
-       ELSE 'Monitor' END AS product_health,
-  CASE WHEN performance_tier = 'Star Products' AND margin_category = 'High Margin' THEN 'Invest & Promote'
-       WHEN order_cancellation_rate > 0.15 OR order_fraud_rate > 0.10 THEN 'Investigate Quality Issues'
-       WHEN performance_tier = 'Slow Movers' AND order_cancellation_rate > 0.10 THEN 'Consider Discontinuing'
-       ELSE 'Maintain' END AS strategic_priority
-FROM t
-"""
+
+def medallion_sql(BRONZE: str) -> dict:
+    """Silver, dimensions and gold SQL over any bronze row source (with ``ingested_at``)."""
+    SILVER_ORDERS = f"SELECT {', '.join(f'{a} AS {b}' for a, b in SILVER_ORDER_MAP)} FROM ({BRONZE}) br"
+    SILVER_CUSTOMERS = f"""
+    SELECT customer_id, customer_fname AS customer_firstname, customer_lname AS customer_lastname,
+           customer_segment, sha256(customer_email) AS email_masked,
+           CAST(NULL AS VARCHAR) AS password_masked, customer_zipcode, ingested_at AS transformed_at
+    FROM ({BRONZE}) br
+    """
+    SILVER_PRODUCTS = f"""
+    SELECT product_card_id AS product_id, category_id, category_name, product_name, product_price,
+           product_status AS is_notavailable, ingested_at AS transformed_at
+    FROM ({BRONZE}) br
+    """
+    DIM_CUSTOMERS = scd2_sql(SILVER_CUSTOMERS, ["customer_id"], "transformed_at", CUST_TRACKED,
+                             CUST_PAYLOAD, _tb(CUST_TRACKED, CUST_PAYLOAD))
+    DIM_PRODUCTS = scd2_sql(SILVER_PRODUCTS, ["product_id"], "transformed_at", PROD_TRACKED,
+                            PROD_PAYLOAD, _tb(PROD_TRACKED, PROD_PAYLOAD))
+    ORDERS_ENRICHED = f"""
+    SELECT {", ".join("o." + c for c in SILVER_ORDER_NAMES)},
+           c.customer_firstname, c.customer_lastname, c.customer_segment, c.customer_zipcode,
+           p.product_name, p.category_id, p.category_name, p.is_notavailable
+    FROM ({SILVER_ORDERS}) o
+    LEFT JOIN (SELECT * FROM ({DIM_CUSTOMERS}) WHERE __END_AT IS NULL) c ON o.customer_id = c.customer_id
+    LEFT JOIN (SELECT * FROM ({DIM_PRODUCTS}) WHERE __END_AT IS NULL) p ON o.product_id = p.product_id
+    """
+    CUSTOMER_METRICS = f"""
+    WITH e AS ({ORDERS_ENRICHED}),
+    agg AS (
+      SELECT {_CK}, count(order_id) AS total_orders,
+             {_dbl('sum(line_total)')} AS total_revenue, {_dbl('sum(profit_per_order)')} AS total_profit,
+             max(order_date) AS latest_order_date, min(order_date) AS first_order_date
+      FROM e GROUP BY {_CK}),
+    allc AS (SELECT DISTINCT {_CK} FROM e),
+    ref AS (SELECT CAST(max(order_date) + INTERVAL 1 MONTH AS DATE) AS rd FROM e),
+    cm AS (
+      SELECT {", ".join("c." + x for x in CKEYS)},
+             coalesce(m.total_orders, 0) AS total_orders,
+             coalesce(m.total_revenue, 0.0) AS total_revenue,
+             coalesce(m.total_profit, 0.0) AS total_profit,
+             m.latest_order_date, m.first_order_date
+      FROM allc c LEFT JOIN agg m ON c.customer_id = m.customer_id)
+    SELECT cm.*,
+           CAST(CASE WHEN latest_order_date IS NOT NULL
+                     THEN date_diff('day', CAST(latest_order_date AS DATE), rd) ELSE 999999 END AS INTEGER)
+             AS days_since_last_order,
+           CASE WHEN total_orders > 0 THEN total_revenue / total_orders ELSE 0.0 END AS avg_order_value
+    FROM cm, ref
+    """
+    CUSTOMERS360 = f"""
+    WITH q AS (
+      SELECT *,
+        ntile(5) OVER (ORDER BY days_since_last_order ASC NULLS FIRST, {_CK_ORDER}) AS rq,
+        ntile(5) OVER (ORDER BY total_orders DESC NULLS LAST, {_CK_ORDER}) AS fq,
+        ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_CK_ORDER}) AS mq
+      FROM ({CUSTOMER_METRICS}) cm),
+    s AS (
+      SELECT *,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - rq END AS INTEGER) AS recency_score,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - fq END AS INTEGER) AS frequency_score,
+        CAST(CASE WHEN total_revenue = 0 THEN 1 ELSE 6 - mq END AS INTEGER) AS monetary_score
+      FROM q)
+    SELECT {_CK}, total_orders, total_revenue, total_profit, avg_order_value,
+           latest_order_date, first_order_date, days_since_last_order,
+           recency_score, frequency_score, monetary_score,
+           CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR)
+             AS rfm_score,
+           CASE
+             WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'Champions'
+             WHEN recency_score >= 3 AND frequency_score >= 3 AND monetary_score >= 3 THEN 'Loyal Customers'
+             WHEN recency_score >= 4 AND frequency_score BETWEEN 2 AND 3 THEN 'Potential Loyalists'
+             WHEN recency_score >= 4 AND frequency_score <= 1 THEN 'New Customers'
+             WHEN recency_score <= 2 AND frequency_score >= 3 AND monetary_score >= 3 THEN 'At Risk'
+             WHEN recency_score <= 2 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'Cannot Lose Them'
+             WHEN recency_score <= 2 AND frequency_score >= 2 THEN 'Hibernating'
+             WHEN recency_score <= 1 AND total_orders > 0 THEN 'Lost Customers'
+             WHEN total_orders = 0 THEN 'Prospects'
+             ELSE 'Other' END AS rfm_segment
+    FROM s
+    """
+    PRODUCT_METRICS = f"""
+    SELECT {_PK},
+      count(order_id) AS total_orders,
+      CAST(sum(quantity) AS BIGINT) AS units_sold,
+      {_dbl('sum(line_total)')} AS total_revenue,
+      {_dbl('sum(profit_per_order)')} AS total_profit,
+      {_avg('line_total')} AS avg_order_value,
+      {_avg('profit_per_order')} AS avg_profit_per_order,
+      {_avg('discount_rate')} AS avg_discount_rate,
+      {_avg('profit_ratio')} AS avg_profit_ratio,
+      {_avg('product_price')} AS avg_price_charged,
+      count(DISTINCT customer_id) AS unique_customers,
+      min(order_date) AS first_order_date,
+      max(order_date) AS last_order_date,
+      count(CASE WHEN customer_segment = 'Consumer' THEN 1 END) AS consumer_orders,
+      count(CASE WHEN customer_segment = 'Corporate' THEN 1 END) AS corporate_orders,
+      count(CASE WHEN customer_segment = 'Home Office' THEN 1 END) AS home_office_orders,
+      count(CASE WHEN order_status = 'COMPLETE' THEN 1 END) AS completed_orders,
+      count(CASE WHEN order_status IN ('CANCELED', 'CLOSED') THEN 1 END) AS canceled_orders,
+      count(CASE WHEN order_status = 'SUSPECTED_FRAUD' THEN 1 END) AS fraud_orders,
+      count(CASE WHEN order_status IN ('PENDING', 'PROCESSING', 'ON_HOLD', 'PAYMENT_REVIEW') THEN 1 END)
+        AS pending_orders,
+      {_avg("date_diff('day', CAST(order_date AS DATE), CAST(shipping_date AS DATE))")} AS avg_order_cycle_days,
+      {_avg('actual_shipping_days')} AS avg_shipping_days,
+      CAST(sum(CASE WHEN late_delivery_risk = true THEN 1 ELSE 0 END) AS BIGINT) AS late_deliveries
+    FROM ({ORDERS_ENRICHED}) e
+    GROUP BY {_PK}
+    """
+    PRODUCT_RATES = f"""
+    SELECT *,
+      CASE WHEN total_orders > 0 THEN completed_orders / total_orders ELSE 0 END AS order_completion_rate,
+      CASE WHEN total_orders > 0 THEN canceled_orders / total_orders ELSE 0 END AS order_cancellation_rate,
+      CASE WHEN total_orders > 0 THEN fraud_orders / total_orders ELSE 0 END AS order_fraud_rate,
+      CASE WHEN total_orders > 0 THEN pending_orders / total_orders ELSE 0 END AS order_pending_rate,
+      CAST(date_diff('day', CAST(first_order_date AS DATE), CAST(last_order_date AS DATE)) AS INTEGER)
+        AS days_in_catalog
+    FROM ({PRODUCT_METRICS}) pm
+    """
+    PRODUCTS360 = f"""
+    WITH q AS (
+      SELECT *,
+        CAST(ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_PK_ORDER}) AS INTEGER) AS revenue_quintile,
+        CAST(ntile(4) OVER (ORDER BY avg_profit_per_order DESC NULLS LAST, {_PK_ORDER}) AS INTEGER)
+          AS margin_quartile
+      FROM ({PRODUCT_RATES}) r),
+    s AS (
+      SELECT *,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - revenue_quintile END AS INTEGER) AS revenue_score,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 5 - margin_quartile END AS INTEGER) AS margin_score
+      FROM q),
+    t AS (
+      SELECT *,
+        CASE WHEN revenue_score >= 4 THEN 'Star Products' WHEN revenue_score >= 3 THEN 'Strong Performers'
+             WHEN revenue_score >= 2 THEN 'Steady Performers' WHEN revenue_score >= 1 THEN 'Weak Performers'
+             ELSE 'Slow Movers' END AS performance_tier,
+        CASE WHEN margin_score >= 3 THEN 'High Margin' WHEN margin_score >= 2 THEN 'Medium Margin'
+             WHEN margin_score >= 1 THEN 'Low Margin' ELSE 'Very Low Margin' END AS margin_category
+      FROM s)
+    SELECT *,
+      CASE WHEN performance_tier IN ('Star Products', 'Strong Performers') AND order_completion_rate >= 0.9
+                AND order_cancellation_rate < 0.05 THEN 'Healthy'
+           WHEN order_cancellation_rate > 0.10 OR order_fraud_rate > 0.05 OR order_completion_rate < 0.8
+                THEN 'At Risk'
+           ELSE 'Monitor' END AS product_health,
+      CASE WHEN performance_tier = 'Star Products' AND margin_category = 'High Margin' THEN 'Invest & Promote'
+           WHEN order_cancellation_rate > 0.15 OR order_fraud_rate > 0.10 THEN 'Investigate Quality Issues'
+           WHEN performance_tier = 'Slow Movers' AND order_cancellation_rate > 0.10 THEN 'Consider Discontinuing'
+           ELSE 'Maintain' END AS strategic_priority
+    FROM t
+    """
+    return {
+        "SILVER_ORDERS": SILVER_ORDERS,
+        "SILVER_CUSTOMERS": SILVER_CUSTOMERS,
+        "SILVER_PRODUCTS": SILVER_PRODUCTS,
+        "DIM_CUSTOMERS": DIM_CUSTOMERS,
+        "DIM_PRODUCTS": DIM_PRODUCTS,
+        "ORDERS_ENRICHED": ORDERS_ENRICHED,
+        "CUSTOMER_METRICS": CUSTOMER_METRICS,
+        "CUSTOMERS360": CUSTOMERS360,
+        "PRODUCT_METRICS": PRODUCT_METRICS,
+        "PRODUCT_RATES": PRODUCT_RATES,
+        "PRODUCTS360": PRODUCTS360,
+    }
+
+
+_M = medallion_sql(BRONZE)
+SILVER_ORDERS = _M["SILVER_ORDERS"]
+SILVER_CUSTOMERS = _M["SILVER_CUSTOMERS"]
+SILVER_PRODUCTS = _M["SILVER_PRODUCTS"]
+DIM_CUSTOMERS = _M["DIM_CUSTOMERS"]
+DIM_PRODUCTS = _M["DIM_PRODUCTS"]
+ORDERS_ENRICHED = _M["ORDERS_ENRICHED"]
+CUSTOMER_METRICS = _M["CUSTOMER_METRICS"]
+CUSTOMERS360 = _M["CUSTOMERS360"]
+PRODUCT_METRICS = _M["PRODUCT_METRICS"]
+PRODUCT_RATES = _M["PRODUCT_RATES"]
+PRODUCTS360 = _M["PRODUCTS360"]
 
 EVENTS_CHANGES = "SELECT user_id, ts, event_type, value FROM events"
 SCD2_EVENTS = scd2_sql(EVENTS_CHANGES, ["user_id"], "ts", ["event_type"], ["event_type", "value"],
@@ -509,3 +539,18 @@ QUERIES.update({
     "quarantine_malformed": QUARANTINE,
     "expectation_metrics": RULE_METRICS,
 })
+
+# ---------------------------------------------------------------------------
+# Streaming and full-pipeline paths over the landing files.
+
+_LANDING_BRONZE = f"SELECT *, shipping_date_dateorders AS ingested_at FROM ({BRONZE_FROM_LANDING}) lb"
+_PIPE = medallion_sql(_LANDING_BRONZE)
+
+QUERIES.update({
+    "stream_csv_to_bronze": BRONZE_FROM_LANDING,
+    "stream_silver_orders": _PIPE["SILVER_ORDERS"],
+    "scd2_stream": SCD2_EVENTS,
+    "pipeline_orders_enriched": _PIPE["ORDERS_ENRICHED"],
+    "pipeline_customers360": _PIPE["CUSTOMERS360"],
+    "pipeline_products360": _PIPE["PRODUCTS360"],
+})
