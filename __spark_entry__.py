@@ -20,7 +20,14 @@ from tidewater.plans import ingest as I
 from tidewater.plans.customers import customer_metrics, reference_date
 from tidewater.plans.model import Medallion
 from tidewater.plans.products import product_metrics, product_rates
+from tidewater.functions.expressions import miles_to_km
+from tidewater.operators import lookups as L
+from tidewater.operators import silver as SV
+from tidewater.plans.customers import customers360
+from tidewater.plans.enrich import orders_enriched
 from tidewater.plans.pipeline import refresh_all
+from tidewater.schemas import CUSTOMER_DIM_KEYS, CUSTOMER_TRACKED
+from tidewater.sources import synth
 from tidewater.session import scratch_path, shared_dir, table_path
 from tidewater.streaming import bronze as SB
 from tidewater.streaming import silver as SS
@@ -105,6 +112,58 @@ def _pipe_table(name: str, audit: str):
     return lambda s, d: s.read.parquet(getattr(_pipeline(s, d), name)).drop(audit)
 
 
+CHANGE_K, CHANGE_SEED = 5, 42
+CHANGE_AT = "2099-12-31 00:00:00"
+
+
+def _changes(spark: SparkSession, sf_dir: str):
+    m = _m(spark, sf_dir)
+    return m, synth.change_load(m.bronze, CHANGE_K, CHANGE_SEED)
+
+
+def _with_changes(spark: SparkSession, sf_dir: str):
+    """Bronze plus a change load that arrives after every base line."""
+    m, ch = _changes(spark, sf_dir)
+    late = ch.withColumn("ingested_at", F.lit(CHANGE_AT).cast("timestamp_ntz"))
+    return m, m.bronze.unionByName(late)
+
+
+def _scd2_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, b = _with_changes(spark, sf_dir)
+    return H.scd2(SV.silver_customers(b), CUSTOMER_DIM_KEYS, SV.SEQ, CUSTOMER_TRACKED)
+
+
+def _customers360_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, b = _with_changes(spark, sf_dir)
+    dim_c = H.scd2(SV.silver_customers(b), CUSTOMER_DIM_KEYS, SV.SEQ, CUSTOMER_TRACKED)
+    dim_p = H.scd2(SV.silver_products(b), ["product_id"], SV.SEQ, ["is_notavailable"])
+    return customers360(orders_enriched(SV.silver_orders(b), H.current(dim_c), H.current(dim_p)))
+
+
+def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, ch = _changes(spark, sf_dir)
+    base = L.distinct_count(m.bronze, ["customer_id"], "base_customers")
+    changed = L.distinct_count(ch, ["customer_id"], "changed_customers")
+    rows = L.rows_of_keys(m.bronze, ch, ["customer_id"]).agg(F.count(F.lit(1)).alias("base_rows_of_changed"))
+    return base.crossJoin(changed).crossJoin(rows)      # three one-row aggregates
+
+
+def _sql_current_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _m(spark, sf_dir).dim_products.createOrReplaceTempView("dim_silver_products")
+    return spark.sql("SELECT * FROM dim_silver_products WHERE __END_AT IS NULL")
+
+
+def _key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = _m(spark, sf_dir).dim_products
+    return hist.join(F.broadcast(L.most_frequent_key(hist, "product_id")), "product_id", "left_semi")
+
+
+def _synth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many synthetic landing lines as the lineitem table has rows."""
+    n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
+    return synth.generate(spark, n, seed=42)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: customers360 (RFM segmentation) over the sf0.001 tables."""
     return _m(spark, SMOKE_DIR).customers360()
@@ -141,6 +200,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_orders_enriched": _pipe_table("orders_enriched", "enriched_at"),
         "pipeline_customers360": _pipe_table("customers360", "processed_at"),
         "pipeline_products360": _pipe_table("products360", "processed_at"),
+        "customers360_range": lambda s, d: Medallion(s, d, ntile_method="range",
+                                                     ntile_rows_per_range=200).customers360(),
+        "products360_range": lambda s, d: Medallion(s, d, ntile_method="range",
+                                                    ntile_rows_per_range=200).products360(),
+        "synth_changes": lambda s, d: _changes(s, d)[1],
+        "rows_of_changed_keys": lambda s, d: L.rows_of_keys(_m(s, d).bronze, _changes(s, d)[1], ["customer_id"]),
+        "distinct_customer_count": _distinct_counts,
+        "scd2_after_changes": _scd2_after_changes,
+        "customers360_after_changes": _customers360_after_changes,
+        "distinct_customers": lambda s, d: L.distinct_rows(_m(s, d).orders_enriched, [
+            "customer_id", "customer_firstname", "customer_lastname", "customer_segment", "customer_zipcode"]),
+        "miles_to_km": lambda s, d: s.read.parquet(table_path(d, "events")).select(
+            "event_id", "value", miles_to_km("value").alias("value_km")),
+        "sql_current_dim": _sql_current_dim,
+        "scd2_key_history": _key_history,
+        "synth_lines": _synth_lines,
     }
 
 

@@ -554,3 +554,52 @@ QUERIES.update({
     "pipeline_customers360": _PIPE["CUSTOMERS360"],
     "pipeline_products360": _PIPE["PRODUCTS360"],
 })
+
+# ---------------------------------------------------------------------------
+# Change load (5 customers), lookups, history after the change load, misc.
+
+CHANGE_K = 5
+CHANGE_SEED = 42
+CHANGE_SEQ = "TIMESTAMP '2099-12-31 00:00:00'"
+
+CHOSEN = f"""
+SELECT customer_id FROM (SELECT DISTINCT customer_id FROM ({BRONZE}) b WHERE customer_id IS NOT NULL) d
+ORDER BY ((customer_id + {CHANGE_SEED}) % 4294967291) * 40503 % 4294967291, customer_id
+LIMIT {CHANGE_K}
+"""
+ROWS_OF_CHANGED = f"SELECT * FROM ({BRONZE}) b WHERE customer_id IN ({CHOSEN})"
+_CHANGE_OVERRIDES = {
+    "product_status": "NOT product_status",
+    "customer_segment": ("CASE customer_segment WHEN 'Consumer' THEN 'Corporate' WHEN 'Corporate' "
+                         "THEN 'Home Office' ELSE 'Consumer' END"),
+    "customer_zipcode": "CAST(customer_zipcode + 1 AS INTEGER)",
+}
+CHANGE_LOAD = (f"SELECT {', '.join(f'{_CHANGE_OVERRIDES.get(c, c)} AS {c}' for c in BRONZE_NAMES + ['ingested_at'])} "
+               f"FROM ({ROWS_OF_CHANGED}) r")
+_CHANGE_AT = (f"SELECT {', '.join(BRONZE_NAMES)}, {CHANGE_SEQ} AS ingested_at FROM ({CHANGE_LOAD}) c")
+_WITH_CHANGES = medallion_sql(f"SELECT * FROM ({BRONZE}) b UNION ALL SELECT * FROM ({_CHANGE_AT}) c")
+
+DISTINCT_COUNTS = f"""
+SELECT (SELECT count(DISTINCT customer_id) FROM ({BRONZE}) b) AS base_customers,
+       (SELECT count(DISTINCT customer_id) FROM ({CHANGE_LOAD}) c) AS changed_customers,
+       (SELECT count(*) FROM ({ROWS_OF_CHANGED}) r) AS base_rows_of_changed
+"""
+
+_MOST_VERSIONS = f"""
+SELECT product_id FROM ({DIM_PRODUCTS}) h GROUP BY product_id ORDER BY count(*) DESC, product_id LIMIT 1
+"""
+
+QUERIES.update({
+    "customers360_range": CUSTOMERS360,
+    "products360_range": PRODUCTS360,
+    "synth_changes": CHANGE_LOAD,
+    "rows_of_changed_keys": ROWS_OF_CHANGED,
+    "distinct_customer_count": DISTINCT_COUNTS,
+    "scd2_after_changes": _WITH_CHANGES["DIM_CUSTOMERS"],
+    "customers360_after_changes": _WITH_CHANGES["CUSTOMERS360"],
+    "distinct_customers": (f"SELECT DISTINCT customer_id, customer_firstname, customer_lastname, "
+                           f"customer_segment, customer_zipcode FROM ({ORDERS_ENRICHED}) e"),
+    "miles_to_km": "SELECT event_id, value, CAST(value * 1.60934 AS FLOAT) AS value_km FROM events",
+    "sql_current_dim": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE __END_AT IS NULL",
+    "scd2_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = ({_MOST_VERSIONS})",
+})

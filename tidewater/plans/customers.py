@@ -65,13 +65,14 @@ def _tiebreak():
     return [asc(c) for c in CUSTOMER_KEYS]
 
 
-def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto") -> DataFrame:
+def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
+                 rows_per_range: int | None = None) -> DataFrame:
     m = customer_metrics(enriched)
     ranked = ntile_columns(m, [
         ("recency_quintile_raw", 5, [asc("days_since_last_order")] + _tiebreak()),
         ("frequency_quintile", 5, [desc("total_orders")] + _tiebreak()),
         ("monetary_quintile", 5, [desc("total_revenue")] + _tiebreak()),
-    ], method=ntile_method)
+    ], method=ntile_method, **({"rows_per_range": rows_per_range} if rows_per_range else {}))
     orders = F.col("total_orders")
     r = score_from_rank(F.col("recency_quintile_raw"), 6, orders)
     f = score_from_rank(F.col("frequency_quintile"), 6, orders)

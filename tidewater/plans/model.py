@@ -24,11 +24,12 @@ from .products import products360
 
 class Medallion:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize_bronze: bool = True,
-                 ntile_method: str = "auto"):
+                 ntile_method: str = "auto", ntile_rows_per_range: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize_bronze = materialize_bronze
         self.ntile_method = ntile_method
+        self.ntile_kw = {"rows_per_range": ntile_rows_per_range} if ntile_rows_per_range else {}
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -60,7 +61,7 @@ class Medallion:
         return orders_enriched(self.silver_orders, current(self.dim_customers), current(self.dim_products))
 
     def customers360(self) -> DataFrame:
-        return customers360(self.orders_enriched, ntile_method=self.ntile_method)
+        return customers360(self.orders_enriched, ntile_method=self.ntile_method, **self.ntile_kw)
 
     def products360(self) -> DataFrame:
-        return products360(self.orders_enriched, ntile_method=self.ntile_method)
+        return products360(self.orders_enriched, ntile_method=self.ntile_method, **self.ntile_kw)

@@ -65,12 +65,13 @@ def _tiebreak():
     return [asc(c) for c in PRODUCT_KEYS]
 
 
-def products360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto") -> DataFrame:
+def products360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
+                 rows_per_range: int | None = None) -> DataFrame:
     rated = product_rates(product_metrics(enriched))
     ranked = ntile_columns(rated, [
         ("revenue_quintile", 5, [desc("total_revenue")] + _tiebreak()),
         ("margin_quartile", 4, [desc("avg_profit_per_order")] + _tiebreak()),
-    ], method=ntile_method)
+    ], method=ntile_method, **({"rows_per_range": rows_per_range} if rows_per_range else {}))
     t = F.col("total_orders")
     out = (ranked
            .withColumn("revenue_score", score_from_rank(F.col("revenue_quintile"), 6, t))
