@@ -21,11 +21,17 @@ from ..sources.testmap import raw_text_lines
 
 def write_landing(spark: SparkSession, sf_dir: str, defects: bool = True,
                   encoding: str | None = None, name: str = "landing",
-                  transform=None) -> str:
-    """Write the tables' order lines as landing CSV files; returns the folder."""
+                  transform=None, files: int | None = None) -> str:
+    """Write the tables' order lines as landing CSV files; returns the folder.
+
+    ``files`` asks for a fixed number of files (a round-robin repartition);
+    by default each write task produces one file.
+    """
     lines = raw_text_lines(spark, sf_dir, defects)
     if transform is not None:
         lines = transform(lines)
+    if files:
+        lines = lines.repartition(files)
     path = scratch_path(spark, name)
     write_csv(lines.toDF(*RAW_HEADERS), path, header=True, encoding=encoding)
     return path
