@@ -14,11 +14,12 @@ their arrival order or on how they were batched):
 
 Distribution: the classic "lag over the key" needs every row of a key in one
 task, which breaks when one key holds a large share of the rows.  Here rows
-are cut into (key, time-bucket) pieces; each piece is ordered locally, and a
-small per-piece summary (one row per piece) carries the previous piece's last
-tracked value and the neighbouring version starts across piece borders.  The
-big data is shuffled once by (key, bucket) and once, map-side combined, by
-(key, version).
+are cut into (key, time-bucket) pieces; each piece is ordered locally, and one
+small summary (one row per piece, ordered per key) carries the previous
+piece's last tracked value and the neighbouring version starts across piece
+borders.  The big data is shuffled once by (key, bucket) and once, map-side
+combined, by (key, version); the summary is a side table joined back on
+(key, bucket), which keeps the pieces' partitioning and order.
 """
 
 from __future__ import annotations
@@ -74,38 +75,44 @@ def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
             .agg(F.max_by(F.struct(*payload), F.struct(*tiebreak)).alias("_row"))
             .select(*keys, "_b", seq, "_row.*"))
 
+    # 2. inside each piece (one sort, two stacked window operators): changes
+    #    against the previous row, latest change so far, next change after.
     wb = Window.partitionBy(*keys, "_b").orderBy(seq)
-    wk = Window.partitionBy(*keys).orderBy("_b")
     d = (d.withColumn("_t", F.struct(*tracked))
-          .withColumn("_prev_t", F.lag("_t").over(wb))
-          .withColumn("_rn", F.row_number().over(wb)))
-
-    # 2. per piece: last tracked value -> carried into the next piece of the key
-    s1 = (d.groupBy(*keys, "_b").agg(F.max_by("_t", seq).alias("_last_t"))
-           .select(*keys, "_b", F.lag("_last_t").over(wk).alias("_carry_t"),
-                   (F.row_number().over(wk) > 1).alias("_has_prev")))
-    d = d.join(s1, [*keys, "_b"])
-    opens = F.when(F.col("_rn") == 1,
-                   ~F.col("_has_prev") | ~F.col("_t").eqNullSafe(F.col("_carry_t"))
-                   ).otherwise(~F.col("_t").eqNullSafe(F.col("_prev_t")))
-    d = d.withColumn("_open", opens)
-
-    # 3. version start / next start, locally and across pieces
-    open_seq = F.when(F.col("_open"), F.col(seq))
-    d = (d.withColumn("_vs_local", F.last(open_seq, ignorenulls=True).over(
+          .withColumn("_rn", F.row_number().over(wb))
+          .withColumn("_chg", (F.col("_rn") > 1) & ~F.col("_t").eqNullSafe(F.lag("_t").over(wb))))
+    chg_seq = F.when(F.col("_chg"), F.col(seq))
+    d = (d.withColumn("_vs_loc", F.last(chg_seq, ignorenulls=True).over(
                           wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("_next_local", F.first(open_seq, ignorenulls=True).over(
+          .withColumn("_nx_loc", F.first(chg_seq, ignorenulls=True).over(
                           wb.rowsBetween(1, Window.unboundedFollowing))))
-    s2 = (d.groupBy(*keys, "_b").agg(F.max(open_seq).alias("_last_open"),
-                                     F.min(open_seq).alias("_first_open"))
-           .select(*keys, "_b",
-                   F.last("_last_open", ignorenulls=True).over(
-                       wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_open"),
-                   F.first("_first_open", ignorenulls=True).over(
-                       wk.rowsBetween(1, Window.unboundedFollowing)).alias("_next_open")))
-    d = (d.join(s2, [*keys, "_b"])
-          .withColumn("_vstart", F.coalesce("_vs_local", "_carry_open"))
-          .withColumn("_vend", F.when(F.col("_open"), F.coalesce("_next_local", "_next_open"))))
+
+    # 3. one summary row per piece, ordered by piece within the key: does the
+    #    piece's first row open a version (tracked value differs from the end
+    #    of the previous piece), the latest opening before the piece and the
+    #    first opening after it.
+    wk = Window.partitionBy(*keys).orderBy("_b")
+    s = (d.groupBy(*keys, "_b")
+          .agg(F.min_by("_t", seq).alias("_first_t"), F.max_by("_t", seq).alias("_last_t"),
+               F.min(seq).alias("_first_seq"), F.min(chg_seq).alias("_first_chg"),
+               F.max(chg_seq).alias("_last_chg"))
+          .withColumn("_carry_t", F.lag("_last_t").over(wk)))
+    head_open = F.col("_carry_t").isNull() | ~F.col("_first_t").eqNullSafe(F.col("_carry_t"))
+    s = (s.withColumn("_head_open", head_open)
+          .withColumn("_p_first", F.when(F.col("_head_open"), F.col("_first_seq")).otherwise(F.col("_first_chg")))
+          .withColumn("_p_last", F.coalesce(F.col("_last_chg"),
+                                            F.when(F.col("_head_open"), F.col("_first_seq"))))
+          .select(*keys, "_b", "_head_open", "_first_seq",
+                  F.last("_p_last", ignorenulls=True).over(
+                      wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_open"),
+                  F.first("_p_first", ignorenulls=True).over(
+                      wk.rowsBetween(1, Window.unboundedFollowing)).alias("_next_open")))
+
+    opens = F.when(F.col("_rn") == 1, F.col("_head_open")).otherwise(F.col("_chg"))
+    d = (d.join(s, [*keys, "_b"])
+          .withColumn("_vstart", F.coalesce("_vs_loc", F.when(F.col("_head_open"), F.col("_first_seq")),
+                                            "_carry_open"))
+          .withColumn("_vend", F.when(opens, F.coalesce("_nx_loc", "_next_open"))))
 
     # 4. one row per version; values of its last row (map-side combined)
     versions = (d.groupBy(*keys, "_vstart")
