@@ -23,7 +23,9 @@ from tidewater.plans.products import product_metrics, product_rates
 from tidewater.functions.expressions import miles_to_km
 from tidewater.operators import lookups as L
 from tidewater.operators import silver as SV
-from tidewater.plans.customers import customers360
+from tidewater.functions.expressions import int_to_bool
+from tidewater.plans.customers import customer_quintiles, customers360, rfm_scores
+from tidewater.plans.products import product_quantiles
 from tidewater.plans.enrich import orders_enriched
 from tidewater.plans.pipeline import refresh_all
 from tidewater.schemas import CUSTOMER_DIM_KEYS, CUSTOMER_TRACKED
@@ -164,6 +166,16 @@ def _synth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth.generate(spark, n, seed=42)
 
 
+def _int_to_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = normalize_columns(I.untyped_lines(spark, _landing(spark, sf_dir)))
+    return raw.select(
+        F.col("order_id").alias("order_id_text"),
+        F.col("late_delivery_risk").alias("late_delivery_risk_text"),
+        F.col("product_status").alias("product_status_text"),
+        int_to_bool(F.col("late_delivery_risk").cast("int")).alias("late_delivery_risk"),
+        int_to_bool(F.col("product_status").cast("int")).alias("product_status"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: customers360 (RFM segmentation) over the sf0.001 tables."""
     return _m(spark, SMOKE_DIR).customers360()
@@ -216,6 +228,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_current_dim": _sql_current_dim,
         "scd2_key_history": _key_history,
         "synth_lines": _synth_lines,
+        "customer_quintiles": lambda s, d: customer_quintiles(_m(s, d).orders_enriched),
+        "rfm_scores": lambda s, d: rfm_scores(customer_quintiles(_m(s, d).orders_enriched)),
+        "product_quantiles": lambda s, d: product_quantiles(_m(s, d).orders_enriched),
+        "int_to_bool": _int_to_bool,
     }
 
 

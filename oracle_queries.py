@@ -603,3 +603,43 @@ QUERIES.update({
     "sql_current_dim": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE __END_AT IS NULL",
     "scd2_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = ({_MOST_VERSIONS})",
 })
+
+# ---------------------------------------------------------------------------
+# Intermediate steps of the gold views, as their own checks.
+
+CUSTOMER_QUINTILES = f"""
+SELECT *,
+  CAST(ntile(5) OVER (ORDER BY days_since_last_order ASC NULLS FIRST, {_CK_ORDER}) AS INTEGER) AS recency_quintile_raw,
+  CAST(ntile(5) OVER (ORDER BY total_orders DESC NULLS LAST, {_CK_ORDER}) AS INTEGER) AS frequency_quintile,
+  CAST(ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_CK_ORDER}) AS INTEGER) AS monetary_quintile
+FROM ({CUSTOMER_METRICS}) cm
+"""
+RFM_SCORES = f"""
+SELECT *, CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR)
+            AS rfm_score
+FROM (SELECT *,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - recency_quintile_raw END AS INTEGER) AS recency_score,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - frequency_quintile END AS INTEGER) AS frequency_score,
+        CAST(CASE WHEN total_revenue = 0 THEN 1 ELSE 6 - monetary_quintile END AS INTEGER) AS monetary_score
+      FROM ({CUSTOMER_QUINTILES}) q) s
+"""
+PRODUCT_QUANTILES = f"""
+SELECT *,
+  CAST(ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_PK_ORDER}) AS INTEGER) AS revenue_quintile,
+  CAST(ntile(4) OVER (ORDER BY avg_profit_per_order DESC NULLS LAST, {_PK_ORDER}) AS INTEGER) AS margin_quartile
+FROM ({PRODUCT_RATES}) r
+"""
+INT_TO_BOOL = f"""
+SELECT order_id AS order_id_text, late_delivery_risk AS late_delivery_risk_text,
+       product_status AS product_status_text,
+       CASE late_delivery_risk WHEN '1' THEN true WHEN '0' THEN false END AS late_delivery_risk,
+       CASE product_status WHEN '1' THEN true WHEN '0' THEN false END AS product_status
+FROM ({NORMALIZED_LINES}) t
+"""
+
+QUERIES.update({
+    "customer_quintiles": CUSTOMER_QUINTILES,
+    "rfm_scores": RFM_SCORES,
+    "product_quantiles": PRODUCT_QUANTILES,
+    "int_to_bool": INT_TO_BOOL,
+})

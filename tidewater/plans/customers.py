@@ -65,26 +65,36 @@ def _tiebreak():
     return [asc(c) for c in CUSTOMER_KEYS]
 
 
-def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
-                 rows_per_range: int | None = None) -> DataFrame:
-    m = customer_metrics(enriched)
-    ranked = ntile_columns(m, [
+def customer_quintiles(enriched: DataFrame, ntile_method: str = "auto",
+                       rows_per_range: int | None = None) -> DataFrame:
+    """Metrics + recency / frequency / monetary quintiles (ntile(5) over all customers)."""
+    return ntile_columns(customer_metrics(enriched), [
         ("recency_quintile_raw", 5, [asc("days_since_last_order")] + _tiebreak()),
         ("frequency_quintile", 5, [desc("total_orders")] + _tiebreak()),
         ("monetary_quintile", 5, [desc("total_revenue")] + _tiebreak()),
     ], method=ntile_method, **({"rows_per_range": rows_per_range} if rows_per_range else {}))
+
+
+def rfm_scores(quintiles: DataFrame) -> DataFrame:
+    """Scores ``6 - quintile`` (1 without orders / revenue) and the 3-digit RFM string."""
     orders = F.col("total_orders")
     r = score_from_rank(F.col("recency_quintile_raw"), 6, orders)
     f = score_from_rank(F.col("frequency_quintile"), 6, orders)
     mon = F.when(F.col("total_revenue") == 0, F.lit(1)).otherwise(F.lit(6) - F.col("monetary_quintile")).cast("int")
-    out = (ranked.withColumn("recency_score", r)
-                 .withColumn("frequency_score", f)
-                 .withColumn("monetary_score", mon)
-                 .withColumn("rfm_score", F.concat(F.col("recency_score").cast("string"),
-                                                   F.col("frequency_score").cast("string"),
-                                                   F.col("monetary_score").cast("string")))
-                 .withColumn("rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"),
-                                                        F.col("monetary_score"), orders)))
+    return (quintiles.withColumn("recency_score", r)
+                     .withColumn("frequency_score", f)
+                     .withColumn("monetary_score", mon)
+                     .withColumn("rfm_score", F.concat(F.col("recency_score").cast("string"),
+                                                       F.col("frequency_score").cast("string"),
+                                                       F.col("monetary_score").cast("string"))))
+
+
+def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
+                 rows_per_range: int | None = None) -> DataFrame:
+    scored = rfm_scores(customer_quintiles(enriched, ntile_method, rows_per_range))
+    orders = F.col("total_orders")
+    out = scored.withColumn("rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"),
+                                                        F.col("monetary_score"), orders))
     cols = list(CUSTOMERS360_COLUMNS)
     if audit:
         out = out.withColumn("processed_at", F.current_timestamp())

@@ -65,13 +65,18 @@ def _tiebreak():
     return [asc(c) for c in PRODUCT_KEYS]
 
 
-def products360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
-                 rows_per_range: int | None = None) -> DataFrame:
-    rated = product_rates(product_metrics(enriched))
-    ranked = ntile_columns(rated, [
+def product_quantiles(enriched: DataFrame, ntile_method: str = "auto",
+                      rows_per_range: int | None = None) -> DataFrame:
+    """Metrics + rates + revenue quintile (ntile 5) and margin quartile (ntile 4)."""
+    return ntile_columns(product_rates(product_metrics(enriched)), [
         ("revenue_quintile", 5, [desc("total_revenue")] + _tiebreak()),
         ("margin_quartile", 4, [desc("avg_profit_per_order")] + _tiebreak()),
     ], method=ntile_method, **({"rows_per_range": rows_per_range} if rows_per_range else {}))
+
+
+def products360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
+                rows_per_range: int | None = None) -> DataFrame:
+    ranked = product_quantiles(enriched, ntile_method, rows_per_range)
     t = F.col("total_orders")
     out = (ranked
            .withColumn("revenue_score", score_from_rank(F.col("revenue_quintile"), 6, t))

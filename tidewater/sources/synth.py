@@ -208,3 +208,23 @@ def change_load(lines: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 def _is_bool(df: DataFrame, c: str) -> bool:
     return df.schema[c].dataType.typeName() == "boolean"
+
+
+def write_test_loads(spark: SparkSession, landing_dir: str, n: int, k: int = 5, seed: int = 42,
+                     load_id: str | None = None, partitions: int | None = None) -> str:
+    """Two landing folders under one unique prefix: a base load of ``n`` lines,
+    then a change load of every line of ``k`` customers of that base load.
+
+    The change load is written after the base load, so its files arrive later
+    (the history orders changes by file arrival).  Returns a path glob that
+    covers both folders for the landing readers.
+    """
+    import uuid
+
+    from ..sinks.tables import write_csv
+    prefix = load_id or uuid.uuid4().hex
+    base = generate(spark, n, seed, partitions)
+    write_csv(base.toDF(*RAW_HEADERS), f"{landing_dir}/{prefix}_synthetic_incremental_load")
+    changes = change_load(base, k, seed)
+    write_csv(changes.toDF(*RAW_HEADERS), f"{landing_dir}/{prefix}_synthetic_incremental_load_scd2")
+    return f"{landing_dir}/*"
