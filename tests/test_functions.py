@@ -35,6 +35,17 @@ def test_parse_multi_ts(spark):
     assert got == [e for _, e in cases]
 
 
+def test_parse_multi_ts_ignores_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("3/11/2018 2:30",), ("11-03-2018 02:30",)], "s string")
+        got = [r[0] for r in df.select(parse_multi_ts("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2018, 3, 11, 2, 30)] * 2       # inside the DST gap there
+
+
 def test_int_to_bool(spark):
     df = spark.createDataFrame([(1,), (0,), (2,), (None,)], "x int")
     assert [r[0] for r in df.select(int_to_bool("x")).collect()] == [True, False, None, None]

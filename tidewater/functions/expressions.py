@@ -20,14 +20,25 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def parse_multi_ts(c, formats=DATE_FORMATS) -> Column:
     """First format that parses wins; text that fits none becomes null.
 
     ``try_to_timestamp`` keeps ANSI mode from failing the whole job on the
-    first non-matching format.  The result is a wall-clock timestamp.
+    first non-matching format.  The text is read as UTC (explicit offset) and
+    turned back into a wall-clock ``timestamp_ntz`` through epoch seconds, so
+    the result does not depend on the session time zone (no DST gaps).
     """
-    col = _c(c)
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    col = F.concat(_c(c), F.lit(" +0000"))
+    return utc_wall_clock(F.coalesce(*[F.try_to_timestamp(col, F.lit(f + " Z")) for f in formats]))
+
+
+def utc_wall_clock(instant) -> Column:
+    """Instant (``timestamp``) -> UTC wall clock (``timestamp_ntz``), whatever the session zone."""
+    secs = (F.unix_micros(_c(instant)) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
 def int_to_bool(c) -> Column:

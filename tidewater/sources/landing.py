@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import utc_wall_clock
 from ..schemas import CORRUPT_COL, raw_schema
 
 
@@ -35,14 +36,14 @@ def stream_landing(spark: SparkSession, path: str, encoding: str | None = None,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental file discovery over the landing folder.
 
-    Adds ``ingested_at`` = the file's modification time: distinct per file
-    inside one micro-batch, so it orders changes by arrival.
+    Adds ``ingested_at`` = the file's modification time (UTC wall clock):
+    distinct per file inside one micro-batch, so it orders changes by arrival.
     """
     r = _csv_options(spark.readStream, encoding, True).schema(raw_schema())
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(path)
-    return df.withColumn("ingested_at", F.col("_metadata.file_modification_time").cast("timestamp_ntz"))
+    return df.withColumn("ingested_at", utc_wall_clock(F.col("_metadata.file_modification_time")))
 
 
 def landing_header_matches(spark: SparkSession, path: str, expected: list[str]) -> bool:
