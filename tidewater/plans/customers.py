@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import money_sum
 from ..functions.labels import rfm_segment, score_from_rank
 from ..operators.ranking import asc, desc, ntile_columns
+from ..session import shared_dir
 
 CUSTOMER_KEYS = ["customer_id", "customer_firstname", "customer_lastname",
                  "customer_segment", "customer_zipcode"]
@@ -40,8 +41,12 @@ def customer_metrics(enriched: DataFrame) -> DataFrame:
         F.max("order_date").alias("latest_order_date"),
         F.min("order_date").alias("first_order_date"),
     )
-    # latest order over all lines = max over the groups: read from the small
-    # aggregate (its shuffle is reused), never collected to the driver
+    # The aggregate feeds both the reference date and the metrics: materialise
+    # it once (reliable checkpoint in the shared folder) so the enrichment
+    # joins upstream run once.  Latest order over all lines = max over the
+    # groups, read from this small table, never collected to the driver.
+    shared_dir(agg.sparkSession)
+    agg = agg.checkpoint(eager=True)
     ref = agg.agg(F.add_months(F.max("latest_order_date"), 1).alias("_ref"))
     miss = F.col("customer_id").isNull()
     m = agg.crossJoin(F.broadcast(ref)).select(      # ref: a global aggregate, exactly one row
