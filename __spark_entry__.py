@@ -35,6 +35,11 @@ from tidewater.streaming import bronze as SB
 from tidewater.streaming import silver as SS
 from tidewater.streaming.scd2_refresh import read_dimension, start_scd2_stream
 
+try:
+    from tidewater.llm import queries as LLM
+except ImportError:             # the subpackage is optional; everything else works without it
+    LLM = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -232,8 +237,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_scores": lambda s, d: rfm_scores(customer_quintiles(_m(s, d).orders_enriched)),
         "product_quantiles": lambda s, d: product_quantiles(_m(s, d).orders_enriched),
         "int_to_bool": _int_to_bool,
+        **(LLM.queries() if LLM else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(OQ.QUERIES)
+    return {**OQ.QUERIES, **(LLM.oracle_sql() if LLM else {})}
