@@ -8,12 +8,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import packing, wavelet
+from . import exact_dedup, mixture, packing, simhash, wavelet
 from .common import table
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -23,10 +34,16 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_best_fit_packing, op10_token_ids)}
+    return {f.__name__: f for f in (
+        op2_source_mix, op3_simhash_near_dedup, op6_exact_dedup, op9_best_fit_packing, op10_token_ids)}
 
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
