@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixture, packing, secrets, simhash, wavelet
+from . import exact_dedup, mixture, packing, quality, secrets, simhash, toxicity, wavelet
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -39,7 +47,8 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_source_mix, op3_simhash_near_dedup, op5_secret_scan, op6_exact_dedup, op9_best_fit_packing, op10_token_ids)}
+        op2_source_mix, op3_simhash_near_dedup, op4_quality_pu, op5_secret_scan, op6_exact_dedup,
+        op7_toxicity_pu, op9_best_fit_packing, op10_token_ids)}
 
 
 ORACLE_SQL: dict[str, str] = {
