@@ -9,10 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixture, packing, quality, secrets, simhash, toxicity, wavelet
+from . import exact_dedup, grid_join, mixture, packing, quality, secrets, simhash, toxicity, wavelet
 from .common import table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
@@ -47,11 +51,22 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_source_mix, op3_simhash_near_dedup, op4_quality_pu, op5_secret_scan, op6_exact_dedup,
+        op1_embedding_near_dedup, op2_source_mix, op3_simhash_near_dedup, op4_quality_pu, op5_secret_scan, op6_exact_dedup,
         op7_toxicity_pu, op9_best_fit_packing, op10_token_ids)}
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+        ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+               AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+               AND list_sum(list_transform(e, x -> x * x)) > 0),
+        pairs AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+                  AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(node, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT p.y, r.root FROM reach r JOIN pairs p ON p.x = r.node)
+        SELECT vec_id, (SELECT count(*) FROM pairs WHERE x = vec_id) AS n_links, min(root) AS component_id,
+               vec_id = min(root) AS kept
+        FROM v JOIN reach ON node = vec_id GROUP BY vec_id""",
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
