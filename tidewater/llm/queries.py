@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, grid_join, mixture, packing, quality, secrets, simhash, toxicity, wavelet
+from . import exact_dedup, grid_join, html_text, mixture, packing, quality, secrets, simhash, toxicity, wavelet
 from .common import table
 
 
@@ -41,6 +41,10 @@ def op7_toxicity_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_source_mix, op3_simhash_near_dedup, op4_quality_pu, op5_secret_scan, op6_exact_dedup,
-        op7_toxicity_pu, op9_best_fit_packing, op10_token_ids)}
+        op7_toxicity_pu, op8_html_main_text, op9_best_fit_packing, op10_token_ids)}
 
 
 ORACLE_SQL: dict[str, str] = {
