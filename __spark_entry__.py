@@ -35,9 +35,10 @@ from tidewater.streaming import bronze as SB
 from tidewater.streaming import silver as SS
 from tidewater.streaming.scd2_refresh import read_dimension, start_scd2_stream
 
-try:
+try:                            # the subpackage and its pipeline are optional; everything else works without them
+    import corpus_pipeline
     from tidewater.llm import queries as LLM
-except ImportError:             # the subpackage is optional; everything else works without it
+except ImportError:
     LLM = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -237,9 +238,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rfm_scores": lambda s, d: rfm_scores(customer_quintiles(_m(s, d).orders_enriched)),
         "product_quantiles": lambda s, d: product_quantiles(_m(s, d).orders_enriched),
         "int_to_bool": _int_to_bool,
-        **(LLM.queries() if LLM else {}),
+        **(LLM.queries() | {"pipeline": corpus_pipeline.run} if LLM else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**OQ.QUERIES, **(LLM.oracle_sql() if LLM else {})}
+    sql = {**OQ.QUERIES, **(LLM.oracle_sql() if LLM else {})}
+    if LLM and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
