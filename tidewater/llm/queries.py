@@ -63,8 +63,8 @@ ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
         ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
-               AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-               AND list_sum(list_transform(e, x -> x * x)) > 0),
+               AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+               AND list_sum([x * x FOR x IN e]) > 0),
         pairs AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
                   AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
         reach(node, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT p.y, r.root FROM reach r JOIN pairs p ON p.x = r.node)
