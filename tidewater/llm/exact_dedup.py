@@ -25,7 +25,7 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.metricsEnabled": "false",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",   # no room held in advance for each state partition
 }
 
 
@@ -47,6 +47,25 @@ def _digest(df: DataFrame) -> DataFrame:
     return df.withColumn("__tw_digest", F.unhex(F.sha2(F.encode(text_or_empty(), "UTF-8"), 256)))
 
 
+#: Bits of the filter that keeps rows without a copy out of shuffles: at most 2 MB are broadcast.
+FILTER_BITS, _PER_ROW = 1 << 24, 1 << 15
+
+
+def maybe_hit(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """``rows`` with __tw_maybe: false only if the row's digest is surely not among ``hits``.
+
+    The digests set bits of a map of fixed size, whatever their number; with
+    very many of them it says "maybe" more often, never wrongly "no".
+    """
+    bit = F.pmod(F.xxhash64("__tw_digest"), F.lit(FILTER_BITS))
+    number, at = F.floor(bit / _PER_ROW).cast("int"), (bit % _PER_ROW).cast("int")
+    maps = (hits.select(number.alias("__tw_no"), at.cast("long").alias("at")).groupBy("__tw_no")
+            .agg(F.bitmap_construct_agg("at").alias("__tw_map")))          # FILTER_BITS / _PER_ROW rows of 4 kB at most
+    byte = F.conv(F.hex(F.substring(F.col("__tw_map"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("__tw_no", number).join(F.broadcast(maps), "__tw_no", "left")
+            .withColumn("__tw_maybe", F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop("__tw_no", "__tw_map"))
+
+
 def run_state(arrivals_path: str, schema, folder: str, spark) -> None:
     """Feed stored arrivals through the keyed state; changed keys of each micro-batch go to ``folder``/groups."""
     arrivals = spark.readStream.schema(schema).parquet(arrivals_path)
@@ -90,12 +109,13 @@ def decide(docs: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataF
               .select("__tw_digest", "last.keeper", "last.group_size").where("group_size > 1"))
     hits = save(groups, "dedup-hits")
 
-    texts = save(_digest(rows).select("__tw_digest", text_or_empty().alias("text"), "doc_id", "__tw_file", "__tw_row")
-                 .join(hits, "__tw_digest"), "dedup-hit-texts")
+    content = _digest(rows).select("__tw_digest", text_or_empty().alias("text"), "doc_id", "__tw_file", "__tw_row")
+    texts = save(maybe_hit(content, hits).where("__tw_maybe").drop("__tw_maybe").join(hits.hint("merge"), "__tw_digest"),
+                 "dedup-hit-texts")
     keepers = texts.where("__tw_file = keeper.__tw_file and __tw_row = keeper.__tw_row").select(
         F.col("__tw_digest").alias("_d"), F.col("text").alias("kept_text"))
-    differ = texts.join(keepers, F.col("__tw_digest") == F.col("_d")).where("text != kept_text").select("__tw_digest")
-    decided = arrivals.join(hits, "__tw_digest", "left").select(
+    differ = texts.join(keepers.hint("merge"), F.col("__tw_digest") == F.col("_d")).where("text != kept_text").select("__tw_digest")
+    decided = arrivals.join(hits.hint("merge"), "__tw_digest", "left").select(
         "doc_id", "__tw_digest", "__tw_file", "__tw_row", F.coalesce("keeper", F.struct("doc_id", "__tw_file", "__tw_row")).alias("keeper"),
         F.coalesce("group_size", F.lit(1)).alias("group_size"))
     if differ.take(1):
@@ -127,7 +147,10 @@ def exact_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
+    """The rows that stay, with the columns of ``docs``; rows without a copy are not shuffled."""
     rows, located_docs = decide(docs, folder)
-    dropped = rows.where("not kept").select("__tw_file", "__tw_row")
-    return located_docs.join(dropped, ["__tw_file", "__tw_row"], "left_anti").select(*[F.col(c) for c in docs.columns])
+    dropped = save(rows.where("not kept").select("__tw_digest", "__tw_file", "__tw_row"), "dedup-dropped")
+    flagged = maybe_hit(_digest(located_docs), dropped)
+    checked = flagged.where("__tw_maybe").join(dropped.drop("__tw_digest").hint("merge"), ["__tw_file", "__tw_row"], "left_anti")
+    names = [f"`{c}`" for c in docs.columns]
+    return flagged.where("not __tw_maybe").select(*names).unionByName(checked.select(*names))
