@@ -18,7 +18,7 @@ from tidewater.functions.expressions import parse_multi_ts
 from tidewater.operators.clean import normalize_columns
 from tidewater.plans import ingest as I
 from tidewater.plans.customers import customer_metrics, reference_date
-from tidewater.plans.model import Medallion
+from tidewater.plans.model import Medallion, customer_history, product_history
 from tidewater.plans.products import product_metrics, product_rates
 from tidewater.functions.expressions import miles_to_km
 from tidewater.operators import lookups as L
@@ -28,7 +28,8 @@ from tidewater.plans.customers import customer_quintiles, customers360, rfm_scor
 from tidewater.plans.products import product_quantiles
 from tidewater.plans.enrich import orders_enriched
 from tidewater.plans.pipeline import refresh_all
-from tidewater.schemas import CUSTOMER_DIM_KEYS, CUSTOMER_TRACKED
+from tidewater.sinks.tables import materialize, read_published
+from tidewater.schemas import CORRUPT_COL
 from tidewater.sources import synth
 from tidewater.session import scratch_path, shared_dir, table_path
 from tidewater.streaming import bronze as SB
@@ -49,6 +50,12 @@ def _m(spark: SparkSession, sf_dir: str) -> Medallion:
     return Medallion(spark, sf_dir)
 
 
+def _lazy(spark: SparkSession, sf_dir: str) -> Medallion:
+    """For queries of one layer: nothing is stored, the scans are pruned."""
+    shared_dir(spark)
+    return Medallion(spark, sf_dir, materialize_bronze=False)
+
+
 def _events_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(table_path(sf_dir, "events")).select("user_id", "ts", "event_type", "value")
     return H.scd2(ev, ["user_id"], "ts", ["event_type"])
@@ -103,21 +110,14 @@ def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_dimension(spark, dim)
 
 
-_PIPELINES: dict = {}
-
-
 def _pipeline(spark: SparkSession, sf_dir: str):
     """Full medallion refresh over landing files (dimension changes ordered by ship date)."""
-    key = (id(spark), sf_dir)
-    if key not in _PIPELINES:
-        landing = _landing(spark, sf_dir)
-        _PIPELINES[key] = refresh_all(spark, landing, scratch_path(spark, "pipeline"),
-                                      sequence_col="shipping_date_dateorders")
-    return _PIPELINES[key]
+    return refresh_all(spark, _landing(spark, sf_dir), scratch_path(spark, "pipeline"),
+                       sequence_col="shipping_date_dateorders")
 
 
 def _pipe_table(name: str, audit: str):
-    return lambda s, d: s.read.parquet(getattr(_pipeline(s, d), name)).drop(audit)
+    return lambda s, d: read_published(s, getattr(_pipeline(s, d), name)).drop(audit)
 
 
 CHANGE_K, CHANGE_SEED = 5, 42
@@ -138,14 +138,12 @@ def _with_changes(spark: SparkSession, sf_dir: str):
 
 def _scd2_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, b = _with_changes(spark, sf_dir)
-    return H.scd2(SV.silver_customers(b), CUSTOMER_DIM_KEYS, SV.SEQ, CUSTOMER_TRACKED)
+    return customer_history(b)
 
 
 def _customers360_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, b = _with_changes(spark, sf_dir)
-    dim_c = H.scd2(SV.silver_customers(b), CUSTOMER_DIM_KEYS, SV.SEQ, CUSTOMER_TRACKED)
-    dim_p = H.scd2(SV.silver_products(b), ["product_id"], SV.SEQ, ["is_notavailable"])
-    return customers360(orders_enriched(SV.silver_orders(b), H.current(dim_c), H.current(dim_p)))
+    return customers360(orders_enriched(SV.silver_orders(b), H.current(customer_history(b)), H.current(product_history(b))))
 
 
 def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,13 +154,23 @@ def _distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.crossJoin(changed).crossJoin(rows)      # three one-row aggregates
 
 
+def _rows_of_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, ch = _changes(spark, sf_dir)
+    return L.rows_of_keys(m.bronze, ch, ["customer_id"])
+
+
 def _sql_current_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _m(spark, sf_dir).dim_products.createOrReplaceTempView("dim_silver_products")
+    _lazy(spark, sf_dir).dim_products.createOrReplaceTempView("dim_silver_products")
     return spark.sql("SELECT * FROM dim_silver_products WHERE __END_AT IS NULL")
 
 
 def _key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hist = _m(spark, sf_dir).dim_products
+    """All versions of one given product."""
+    return H.key_history(_lazy(spark, sf_dir).dim_products, "product_id", 1)
+
+
+def _busiest_key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = materialize(spark, _lazy(spark, sf_dir).dim_products, "dim-products")
     return hist.join(F.broadcast(L.most_frequent_key(hist, "product_id")), "product_id", "left_semi")
 
 
@@ -196,12 +204,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "product_rates": lambda s, d: product_rates(product_metrics(_m(s, d).orders_enriched)),
         "products360": lambda s, d: _m(s, d).products360(),
         "reference_date": lambda s, d: reference_date(_m(s, d).orders_enriched),
-        "silver_orders": lambda s, d: _m(s, d).silver_orders,
-        "silver_customers": lambda s, d: _m(s, d).silver_customers,
-        "silver_products": lambda s, d: _m(s, d).silver_products,
+        "silver_orders": lambda s, d: _lazy(s, d).silver_orders,
+        "silver_customers": lambda s, d: _lazy(s, d).silver_customers,
+        "silver_products": lambda s, d: _lazy(s, d).silver_products,
         "scd2_batch": _events_history,
-        "scd2_batch_products": lambda s, d: _m(s, d).dim_products,
-        "scd2_customers": lambda s, d: _m(s, d).dim_customers,
+        "scd2_batch_products": lambda s, d: _lazy(s, d).dim_products,
+        "scd2_customers": lambda s, d: _lazy(s, d).dim_customers,
         "scd2_current": lambda s, d: H.current(_events_history(s, d)),
         "scd2_closed": lambda s, d: H.closed(_events_history(s, d)),
         "csv_batch_untyped": lambda s, d: I.untyped_lines(s, _landing(s, d)),
@@ -210,7 +218,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_lines": lambda s, d: I.cleaned_lines(s, _landing(s, d)),
         "csv_batch_latin1": _latin1,
         "expect_or_drop": lambda s, d: I.bronze_batch(s, _landing(s, d)),
-        "quarantine_malformed": lambda s, d: I.quarantine_batch(s, _landing(s, d)),
+        "quarantine_malformed": lambda s, d: I.quarantine_batch(s, _landing(s, d)).drop(CORRUPT_COL),
         "expectation_metrics": lambda s, d: I.rule_metrics_batch(s, _landing(s, d)),
         "stream_csv_to_bronze": lambda s, d: s.read.parquet(_stream_bronze(s, d)).drop("ingested_at"),
         "stream_silver_orders": _stream_silver_orders,
@@ -218,12 +226,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_orders_enriched": _pipe_table("orders_enriched", "enriched_at"),
         "pipeline_customers360": _pipe_table("customers360", "processed_at"),
         "pipeline_products360": _pipe_table("products360", "processed_at"),
-        "customers360_range": lambda s, d: Medallion(s, d, ntile_method="range",
-                                                     ntile_rows_per_range=200).customers360(),
-        "products360_range": lambda s, d: Medallion(s, d, ntile_method="range",
-                                                    ntile_rows_per_range=200).products360(),
+        "customers360_range": lambda s, d: Medallion(s, d, ntile_ranges=29).customers360(),
+        "products360_range": lambda s, d: Medallion(s, d, ntile_ranges=29).products360(),
         "synth_changes": lambda s, d: _changes(s, d)[1],
-        "rows_of_changed_keys": lambda s, d: L.rows_of_keys(_m(s, d).bronze, _changes(s, d)[1], ["customer_id"]),
+        "rows_of_changed_keys": _rows_of_changed,
         "distinct_customer_count": _distinct_counts,
         "scd2_after_changes": _scd2_after_changes,
         "customers360_after_changes": _customers360_after_changes,
@@ -233,6 +239,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "event_id", "value", miles_to_km("value").alias("value_km")),
         "sql_current_dim": _sql_current_dim,
         "scd2_key_history": _key_history,
+        "scd2_busiest_key_history": _busiest_key_history,
         "synth_lines": _synth_lines,
         "customer_quintiles": lambda s, d: customer_quintiles(_m(s, d).orders_enriched),
         "rfm_scores": lambda s, d: rfm_scores(customer_quintiles(_m(s, d).orders_enriched)),

@@ -106,7 +106,7 @@ def main() -> None:
     base = li.checkpoint(eager=True)
     q["ntile_builtin"] = timed(lambda: noop(ntile_columns(base, [("q", 5, order)], method="builtin")), repeat)
     q["ntile_range"] = timed(lambda: noop(ntile_columns(base, [("q", 5, order)], method="range",
-                                                          rows_per_range=max(1, n_lines // (2 * cpus)))), repeat)
+                                                          ranges=2 * cpus)), repeat)
 
     total = sum(v for k, v in q.items())
     print(json.dumps({"metric": "total_query_sec", "value": round(total, 3), "unit": "sec",

@@ -250,10 +250,12 @@ def medallion_sql(BRONZE: str) -> dict:
            product_status AS is_notavailable, ingested_at AS transformed_at
     FROM ({BRONZE}) br
     """
-    DIM_CUSTOMERS = scd2_sql(SILVER_CUSTOMERS, ["customer_id"], "transformed_at", CUST_TRACKED,
-                             CUST_PAYLOAD, _tb(CUST_TRACKED, CUST_PAYLOAD))
-    DIM_PRODUCTS = scd2_sql(SILVER_PRODUCTS, ["product_id"], "transformed_at", PROD_TRACKED,
-                            PROD_PAYLOAD, _tb(PROD_TRACKED, PROD_PAYLOAD))
+    order = ["order_date_dateorders", "order_id", "order_item_id"]      # changes of one sequence value
+    ordered = lambda silver: silver.replace("AS transformed_at", "AS transformed_at, " + ", ".join(order))
+    DIM_CUSTOMERS = scd2_sql(ordered(SILVER_CUSTOMERS), ["customer_id"], "transformed_at", CUST_TRACKED,
+                             CUST_PAYLOAD, order + _tb(CUST_TRACKED, CUST_PAYLOAD))
+    DIM_PRODUCTS = scd2_sql(ordered(SILVER_PRODUCTS), ["product_id"], "transformed_at", PROD_TRACKED,
+                            PROD_PAYLOAD, order + _tb(PROD_TRACKED, PROD_PAYLOAD))
     ORDERS_ENRICHED = f"""
     SELECT {", ".join("o." + c for c in SILVER_ORDER_NAMES)},
            c.customer_firstname, c.customer_lastname, c.customer_segment, c.customer_zipcode,
@@ -457,7 +459,8 @@ RAW_HEADERS = [
 
 DEFECT = ("CASE (l_orderkey + l_linenumber) % 97 WHEN 0 THEN 'zero_quantity' "
           "WHEN 1 THEN 'bad_order_date' WHEN 2 THEN 'missing_status' WHEN 3 THEN 'zero_price' "
-          "WHEN 4 THEN 'text_in_int' WHEN 5 THEN 'bad_ship_date' END")
+          "WHEN 4 THEN 'text_in_int' WHEN 5 THEN 'bad_ship_date' WHEN 6 THEN 'text_in_category' END")
+_MALFORMED = "coalesce(_defect IN ('text_in_int', 'text_in_category'), false) AS malformed"
 
 DEFECTED = f"SELECT *, {DEFECT} AS _defect FROM ({MODEL}) mm"
 
@@ -469,6 +472,7 @@ _CLEAN_OVERRIDES = {
                                  "ELSE order_item_product_price END"),
     "order_id": "CASE WHEN _defect = 'text_in_int' THEN NULL ELSE order_id END",
     "shipping_date_dateorders": "CASE WHEN _defect = 'bad_ship_date' THEN NULL ELSE shipping_date_dateorders END",
+    "category_id": "CASE WHEN _defect = 'text_in_category' THEN NULL ELSE category_id END",
     "late_delivery_risk": "(late_delivery_risk = 1)",
     "product_status": "(product_status = 1)",
 }
@@ -480,10 +484,10 @@ def _clean_select(overrides=None) -> str:
     return ", ".join(f"{ov.get(c, c)} AS {c}" for c in BRONZE_NAMES)
 
 
-CLEAN_LINES = (f"SELECT {_clean_select()}, coalesce(_defect = 'text_in_int', false) AS malformed "
+CLEAN_LINES = (f"SELECT {_clean_select()}, {_MALFORMED} "
                f"FROM ({DEFECTED}) dd")
 CLEAN_LINES_LATIN1 = (f"SELECT {_clean_select({'customer_fname': "customer_fname || 'é'"})}, "
-                      f"coalesce(_defect = 'text_in_int', false) AS malformed FROM ({DEFECTED}) dd")
+                      f"{_MALFORMED} FROM ({DEFECTED}) dd")
 
 _ALL_RULES = " AND ".join(f"coalesce({r}, false)" for r in RULES_SQL)
 BRONZE_FROM_LANDING = (f"SELECT {', '.join(BRONZE_NAMES)} FROM ({CLEAN_LINES}) cl "
@@ -507,6 +511,7 @@ _TEXT_OVERRIDES = {
     "order_item_product_price": ("CASE WHEN _defect = 'zero_price' THEN '0.0000' "
                                  "ELSE CAST(order_item_product_price AS VARCHAR) END"),
     "order_id": "CASE WHEN _defect = 'text_in_int' THEN 'X' || CAST(order_id AS VARCHAR) ELSE CAST(order_id AS VARCHAR) END",
+    "category_id": "CASE WHEN _defect = 'text_in_category' THEN 'n/a' ELSE CAST(category_id AS VARCHAR) END",
     "shipping_date_dateorders": ("CASE WHEN _defect = 'bad_ship_date' THEN 'not a date' ELSE "
                                  + _DATE_TEXT.format(c="l_shipdate") + " END"),
 }
@@ -601,7 +606,8 @@ QUERIES.update({
                            f"customer_segment, customer_zipcode FROM ({ORDERS_ENRICHED}) e"),
     "miles_to_km": "SELECT event_id, value, CAST(value * 1.60934 AS FLOAT) AS value_km FROM events",
     "sql_current_dim": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE __END_AT IS NULL",
-    "scd2_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = ({_MOST_VERSIONS})",
+    "scd2_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = 1",
+    "scd2_busiest_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = ({_MOST_VERSIONS})",
 })
 
 # ---------------------------------------------------------------------------
@@ -609,7 +615,7 @@ QUERIES.update({
 
 CUSTOMER_QUINTILES = f"""
 SELECT *,
-  CAST(ntile(5) OVER (ORDER BY days_since_last_order ASC NULLS FIRST, {_CK_ORDER}) AS INTEGER) AS recency_quintile_raw,
+  CAST(ntile(5) OVER (ORDER BY days_since_last_order ASC NULLS FIRST, {_CK_ORDER}) AS INTEGER) AS recency_quintile,
   CAST(ntile(5) OVER (ORDER BY total_orders DESC NULLS LAST, {_CK_ORDER}) AS INTEGER) AS frequency_quintile,
   CAST(ntile(5) OVER (ORDER BY total_revenue DESC NULLS LAST, {_CK_ORDER}) AS INTEGER) AS monetary_quintile
 FROM ({CUSTOMER_METRICS}) cm
@@ -618,7 +624,7 @@ RFM_SCORES = f"""
 SELECT *, CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR)
             AS rfm_score
 FROM (SELECT *,
-        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - recency_quintile_raw END AS INTEGER) AS recency_score,
+        CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - recency_quintile END AS INTEGER) AS recency_score,
         CAST(CASE WHEN total_orders = 0 THEN 1 ELSE 6 - frequency_quintile END AS INTEGER) AS frequency_score,
         CAST(CASE WHEN total_revenue = 0 THEN 1 ELSE 6 - monetary_quintile END AS INTEGER) AS monetary_score
       FROM ({CUSTOMER_QUINTILES}) q) s

@@ -31,8 +31,15 @@ def parse_multi_ts(c, formats=DATE_FORMATS) -> Column:
     turned back into a wall-clock ``timestamp_ntz`` through epoch seconds, so
     the result does not depend on the session time zone (no DST gaps).
     """
-    col = F.concat(_c(c), F.lit(" +0000"))
-    return utc_wall_clock(F.coalesce(*[F.try_to_timestamp(col, F.lit(f + " Z")) for f in formats]))
+    text = _c(c)
+    col = F.concat(text, F.lit(" +0000"))
+    parse = lambda fs: F.coalesce(*[F.try_to_timestamp(col, F.lit(f + " Z")) for f in fs])
+    # a one-digit pattern also reads two digits, so "HH" after "H" adds nothing; the separator picks the rest
+    lean = [f for f in formats if f.replace("HH", "H") == f or f.replace("HH", "H") not in formats]
+    slashed, other = [f for f in lean if "/" in f], [f for f in lean if "/" not in f]
+    if not (slashed and other):
+        return utc_wall_clock(parse(lean))
+    return utc_wall_clock(F.when(F.contains(text, F.lit("/")), parse(slashed)).otherwise(parse(other)))
 
 
 def utc_wall_clock(instant) -> Column:
@@ -65,14 +72,9 @@ def exact_avg(c) -> Column:
     partial sums were combined; for integers likewise.
     """
     col = _c(c)
-    return (F.sum(col).cast("decimal(38,4)").cast("decimal(18,4)").cast("double")
-            / F.count(col).cast("double"))
+    return F.sum(col).cast("double") / F.count(col).cast("double")
 
 
 def money_sum(c) -> Column:
     """Exact decimal sum presented as a double."""
-    return F.sum(_c(c)).cast("decimal(38,4)").cast("decimal(18,4)").cast("double")
-
-
-def days_between(end, start) -> Column:
-    return F.datediff(_c(end), _c(start)).cast("int")
+    return F.sum(_c(c)).cast("double")

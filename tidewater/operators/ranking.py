@@ -1,36 +1,26 @@
 """Exact ``ntile`` over a global order, without a single-partition window.
 
 ``ntile(k) OVER (ORDER BY ...)`` with no partition moves every row into one
-task.  For large inputs we compute the same buckets in a distributed way:
-
-1. Sort-key boundaries come from a bounded random sample (driver receives at
-   most ``OVERSAMPLE * ranges`` rows).  Boundaries are full sort tuples, so a
-   heavily repeated value is split across ranges by the tie-break columns.
-2. ``_rng`` = number of boundaries at or before the row: a pure function of
-   the row's sort tuple (a binary-search ``CASE`` tree, JVM-side), so task
-   retries always land rows in the same range.
-3. ``row_number`` inside each range, plus per-range counts turned into
-   running offsets (one row per range - a table whose size we fix - so it is
-   broadcast) give each row its 0-based global position ``g``.
-4. With n rows, k buckets, q = n div k, r = n mod k:
-   ``g < r(q+1) ? g div (q+1) + 1 : r + (g - r(q+1)) div q + 1``.
-
-The sort order must be total (append id columns) for the result to be
-deterministic; with a total order the result equals the built-in ``ntile``.
+task.  Here the rows are range-partitioned and sorted by the whole sort tuple
+(a hot value is split by the tie-break columns), each row is numbered within
+its range by its position there, and the ranges' row counts - one row per
+range, whose number is the session's shuffle partitions - turn that into the
+0-based global position ``g``.  With n rows, k buckets, q = n div k, r = n mod k:
+``g < r(q+1) ? g div (q+1) + 1 : r + (g - r(q+1)) div q + 1``.
+
+The same plan serves every size.  The sort order must be total (append id
+columns) for the result to be deterministic; with a total order it equals the
+built-in ``ntile``.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-OVERSAMPLE = 64
-DEFAULT_THRESHOLD = 1_000_000
-DEFAULT_ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 256
+from ..sinks.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -62,112 +52,42 @@ def builtin_ntile(df: DataFrame, k: int, order: list[SortKey], name: str) -> Dat
     return df.withColumn(name, F.ntile(k).over(Window.orderBy(*[s.expr() for s in order])))
 
 
-def _lit(v, dtype) -> Column:
-    return F.lit(v).cast(dtype)
-
-
-def _strictly_before(df: DataFrame, order: list[SortKey], bound: tuple) -> Column:
-    """Row sort tuple < bound (lexicographic, per-key direction and null order)."""
-    acc: Column = F.lit(False)
-    for key, v in reversed(list(zip(order, bound))):
-        c = F.col(key.column)
-        dtype = df.schema[key.column].dataType
-        if v is None:
-            lt = F.lit(False) if key.nf else c.isNotNull()
-            eq = c.isNull()
-        else:
-            cmp = (c < _lit(v, dtype)) if key.ascending else (c > _lit(v, dtype))
-            lt = F.coalesce(cmp, F.lit(False))
-            if key.nf:
-                lt = lt | c.isNull()
-            eq = F.coalesce(c == _lit(v, dtype), F.lit(False))
-        acc = lt | (eq & acc)
-    return acc
-
-
-def _range_tree(df, order, bounds, lo, hi) -> Column:
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi + 1) // 2          # first range of the upper half
-    return F.when(_strictly_before(df, order, bounds[mid - 1]),
-                  _range_tree(df, order, bounds, lo, mid - 1)
-                  ).otherwise(_range_tree(df, order, bounds, mid, hi))
-
-
-def range_ids(df: DataFrame, order: list[SortKey], n: int,
-              rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
-              max_ranges: int = MAX_RANGES, seed: int = 17) -> Column:
-    ranges = max(1, min(max_ranges, math.ceil(n / max(rows_per_range, 1))))
-    if ranges == 1 or n == 0:
-        return F.lit(0)
-    cols = [s.column for s in order]
-    fraction = min(1.0, OVERSAMPLE * ranges / n)
-    sample = (df.select(*cols).sample(False, fraction, seed)
-                .orderBy(*[s.expr() for s in order]).collect())
-    if len(sample) < 2:
-        return F.lit(0)
-    step = len(sample) / ranges
-    bounds = []
-    for i in range(1, ranges):
-        b = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return _range_tree(df, order, bounds, 0, len(bounds))
-
-
-def range_ntile(df: DataFrame, k: int, order: list[SortKey], name: str, n: int,
-                rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
-                max_ranges: int = MAX_RANGES) -> DataFrame:
-    """Distributed exact ntile; ``n`` is the row count of ``df``."""
-    return _range_ntile_with(df, k, order, name, range_ids(df, order, n, rows_per_range, max_ranges))
-
-
-def ntile_columns(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]],
-                  method: str = "auto", threshold: int = DEFAULT_THRESHOLD,
-                  rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
-    """Add one ntile column per (name, k, order) spec.
+#: Layout of monotonically_increasing_id: the partition above, the row in it below.
+_ROW_BITS = 33
 
-    ``method``: ``builtin`` (single-partition window), ``range`` (distributed)
-    or ``auto`` (range above ``threshold`` rows).  ``range``/``auto`` first
-    checkpoint the input into the shared checkpoint folder so the count, the
-    sample and the ranking all read the same materialised rows.
-    """
-    if method == "builtin":
-        for name, k, order in specs:
-            df = builtin_ntile(df, k, order, name)
-        return df
-    df = df.checkpoint(eager=True)
-    n = df.count()
-    if method == "auto" and n <= threshold:
-        for name, k, order in specs:
-            df = builtin_ntile(df, k, order, name)
-        return df
-    base = df
-    for name, k, order in specs:
-        # boundaries are sampled from the materialised input, whose sort
-        # columns are unchanged by earlier specs
-        rid = range_ids(base, order, n, rows_per_range)
-        df = _range_ntile_with(df, k, order, name, rid, count_source=base)
-    return df
 
+def range_ntile(df: DataFrame, k: int, order: list[SortKey], name: str, ranges: int | None = None) -> DataFrame:
+    """Distributed exact ntile; ``ranges`` defaults to the session's shuffle partitions.
 
-def _range_ntile_with(df, k, order, name, rid: Column, count_source: DataFrame | None = None) -> DataFrame:
-    local = df.withColumn("_rng", rid).withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_rng").orderBy(*[s.expr() for s in order])))
-    # per-range counts: a partial (map-side) count, at most one row per range
-    counts = ((count_source if count_source is not None else df).withColumn("_rng", rid)
-              .groupBy("_rng").agg(F.count(F.lit(1)).alias("_cnt")))
-    offsets = counts.select(
-        "_rng",
-        F.coalesce(F.sum("_cnt").over(Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_n"))
-    j = local.join(F.broadcast(offsets), "_rng")
-    g = F.col("_off") + F.col("_lrn") - 1
-    nn = F.col("_n")
+    The sorted ranges are stored once, so positions and counts read the same rows.
+    """
+    spark = df.sparkSession
+    by = [s.expr() for s in order]
+    n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(spark, df.repartitionByRange(n_ranges, *by).sortWithinPartitions(*by)
+                         .withColumn("_at", F.monotonically_increasing_id()), "ntile")
+    rng, row = F.shiftright("_at", _ROW_BITS), F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    counts = placed.groupBy(rng.alias("_rng")).agg(F.count(F.lit(1)).alias("_cnt"))       # at most n_ranges rows
+    before = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_rng", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_cnt").over(Window.partitionBy()).alias("_n"))
+    j = placed.withColumn("_rng", rng).join(F.broadcast(offsets), "_rng")
+    g, nn = F.col("_off") + row, F.col("_n")
     q = F.floor(nn / k)
     r = nn - q * k
     big = r * (q + 1)
     bucket = F.when(g < big, F.floor(g / (q + 1)) + 1).otherwise(
         r + F.floor((g - big) / F.greatest(q, F.lit(1))) + 1)
-    return j.withColumn(name, bucket.cast("int")).drop("_rng", "_lrn", "_off", "_n")
+    return j.withColumn(name, bucket.cast("int")).drop("_rng", "_at", "_off", "_n")
+
+
+def ntile_columns(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], method: str = "range",
+                  ranges: int | None = None) -> DataFrame:
+    """Add one ntile column per (name, k, order) spec.
+
+    ``method``: ``range`` (distributed) or ``builtin`` (the single-partition
+    window, for comparison).
+    """
+    for name, k, order in specs:
+        df = builtin_ntile(df, k, order, name) if method == "builtin" else range_ntile(df, k, order, name, ranges)
+    return df

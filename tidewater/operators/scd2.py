@@ -132,10 +132,5 @@ def closed(history: DataFrame) -> DataFrame:
 
 
 def key_history(history: DataFrame, key: str, value) -> DataFrame:
+    """All versions of one key; the equality filter reaches the source of the changes."""
     return history.filter(F.col(key) == F.lit(value))
-
-
-def as_of(history: DataFrame, ts) -> DataFrame:
-    """Versions valid at ``ts``: start <= ts < end (end null = open)."""
-    t = F.lit(ts) if not isinstance(ts, Column) else ts
-    return history.filter((F.col(SCD_START) <= t) & (F.col(SCD_END).isNull() | (F.col(SCD_END) > t)))

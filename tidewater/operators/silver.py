@@ -13,13 +13,21 @@ from ..schemas import SILVER_ORDER_COLUMNS
 
 SEQ = "transformed_at"
 
+#: Order of changes that share a sequence value (one file carries many): order date, then order and item id.
+CHANGE_ORDER = {"_change_date": "order_date_dateorders", "_change_order": "order_id", "_change_item": "order_item_id"}
+
+
+def _change_order(ordered: bool) -> list:
+    return [F.col(src).alias(dst) for dst, src in CHANGE_ORDER.items()] if ordered else []
+
 
 def _audit(df: DataFrame, name: str, audit: bool) -> DataFrame:
     return df.withColumn(name, F.current_timestamp()) if audit else df
 
 
-def silver_customers(bronze: DataFrame, sequence_col: str = "ingested_at") -> DataFrame:
-    """Customer change rows.  ``transformed_at`` is the change sequence.
+def silver_customers(bronze: DataFrame, sequence_col: str = "ingested_at", ordered: bool = False) -> DataFrame:
+    """Customer change rows.  ``transformed_at`` is the change sequence;
+    ``ordered`` adds the columns that order changes within it.
 
     The e-mail leaves bronze only as its SHA-256 hash; the password never does.
     """
@@ -32,10 +40,11 @@ def silver_customers(bronze: DataFrame, sequence_col: str = "ingested_at") -> Da
         F.lit(None).cast("string").alias("password_masked"),
         F.col("customer_zipcode"),
         F.col(sequence_col).alias(SEQ),
+        *_change_order(ordered),
     )
 
 
-def silver_products(bronze: DataFrame, sequence_col: str = "ingested_at") -> DataFrame:
+def silver_products(bronze: DataFrame, sequence_col: str = "ingested_at", ordered: bool = False) -> DataFrame:
     return bronze.select(
         F.col("product_card_id").alias("product_id"),
         F.col("category_id"),
@@ -44,6 +53,7 @@ def silver_products(bronze: DataFrame, sequence_col: str = "ingested_at") -> Dat
         F.col("product_price"),
         F.col("product_status").alias("is_notavailable"),
         F.col(sequence_col).alias(SEQ),
+        *_change_order(ordered),
     )
 
 

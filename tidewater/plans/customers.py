@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.expressions import money_sum
 from ..functions.labels import rfm_segment, score_from_rank
 from ..operators.ranking import asc, desc, ntile_columns
-from ..session import shared_dir
+from ..sinks.tables import materialize
 
 CUSTOMER_KEYS = ["customer_id", "customer_firstname", "customer_lastname",
                  "customer_segment", "customer_zipcode"]
 NO_ORDER_DAYS = 999999
 
+# The columns of the published table, in order.
 CUSTOMERS360_COLUMNS = [
     "customer_id", "customer_firstname", "customer_lastname", "customer_segment",
     "customer_zipcode", "total_orders", "total_revenue", "total_profit", "avg_order_value",
@@ -41,12 +42,11 @@ def customer_metrics(enriched: DataFrame) -> DataFrame:
         F.max("order_date").alias("latest_order_date"),
         F.min("order_date").alias("first_order_date"),
     )
-    # The aggregate feeds both the reference date and the metrics: materialise
-    # it once (reliable checkpoint in the shared folder) so the enrichment
-    # joins upstream run once.  Latest order over all lines = max over the
-    # groups, read from this small table, never collected to the driver.
-    shared_dir(agg.sparkSession)
-    agg = agg.checkpoint(eager=True)
+    # The aggregate feeds both the reference date and the metrics: it is stored
+    # once in the shared folder so the enrichment joins upstream run once.
+    # Latest order over all lines = max over the groups, read from this small
+    # table, never collected to the driver.
+    agg = materialize(agg.sparkSession, agg, "customer-metrics")
     ref = agg.agg(F.add_months(F.max("latest_order_date"), 1).alias("_ref"))
     miss = F.col("customer_id").isNull()
     m = agg.crossJoin(F.broadcast(ref)).select(      # ref: a global aggregate, exactly one row
@@ -70,20 +70,20 @@ def _tiebreak():
     return [asc(c) for c in CUSTOMER_KEYS]
 
 
-def customer_quintiles(enriched: DataFrame, ntile_method: str = "auto",
-                       rows_per_range: int | None = None) -> DataFrame:
+def customer_quintiles(enriched: DataFrame, ntile_method: str = "range",
+                       ranges: int | None = None) -> DataFrame:
     """Metrics + recency / frequency / monetary quintiles (ntile(5) over all customers)."""
     return ntile_columns(customer_metrics(enriched), [
-        ("recency_quintile_raw", 5, [asc("days_since_last_order")] + _tiebreak()),
+        ("recency_quintile", 5, [asc("days_since_last_order")] + _tiebreak()),
         ("frequency_quintile", 5, [desc("total_orders")] + _tiebreak()),
         ("monetary_quintile", 5, [desc("total_revenue")] + _tiebreak()),
-    ], method=ntile_method, **({"rows_per_range": rows_per_range} if rows_per_range else {}))
+    ], method=ntile_method, ranges=ranges)
 
 
 def rfm_scores(quintiles: DataFrame) -> DataFrame:
     """Scores ``6 - quintile`` (1 without orders / revenue) and the 3-digit RFM string."""
     orders = F.col("total_orders")
-    r = score_from_rank(F.col("recency_quintile_raw"), 6, orders)
+    r = score_from_rank(F.col("recency_quintile"), 6, orders)
     f = score_from_rank(F.col("frequency_quintile"), 6, orders)
     mon = F.when(F.col("total_revenue") == 0, F.lit(1)).otherwise(F.lit(6) - F.col("monetary_quintile")).cast("int")
     return (quintiles.withColumn("recency_score", r)
@@ -94,9 +94,9 @@ def rfm_scores(quintiles: DataFrame) -> DataFrame:
                                                        F.col("monetary_score").cast("string"))))
 
 
-def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
-                 rows_per_range: int | None = None) -> DataFrame:
-    scored = rfm_scores(customer_quintiles(enriched, ntile_method, rows_per_range))
+def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "range",
+                 ranges: int | None = None) -> DataFrame:
+    scored = rfm_scores(customer_quintiles(enriched, ntile_method, ranges))
     orders = F.col("total_orders")
     out = scored.withColumn("rfm_segment", rfm_segment(F.col("recency_score"), F.col("frequency_score"),
                                                         F.col("monetary_score"), orders))

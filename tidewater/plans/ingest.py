@@ -50,10 +50,9 @@ def bronze_batch(spark: SparkSession, path: str, encoding: str | None = None) ->
 
 
 def quarantine_batch(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """Rejected lines with the comma-joined names of what they failed."""
+    """Rejected lines with the comma-joined names of what they failed and, where malformed, their raw text."""
     q = quarantine(clean(read_landing(spark, path, encoding)))
-    return (q.withColumn("failed_rules", F.array_join("failed_rules", ","))
-             .drop(CORRUPT_COL))
+    return q.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
 def rule_metrics_batch(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """The medallion over the driver's tables: bronze -> silver -> dims -> gold.
 
-``Medallion`` builds each layer lazily from the one below.  Bronze is
-written once to the shared folder (it is a stored table in the pipeline);
-everything above reads it with column pruning.
+``Medallion`` builds each layer lazily from the one below.  Where several
+layers read bronze it is written once to the shared folder; a query of one
+layer leaves it lazy (``materialize_bronze=False``), so column pruning reaches
+the source tables.
 """
 
 from __future__ import annotations
@@ -22,14 +23,32 @@ from .enrich import orders_enriched
 from .products import products360
 
 
+def tiebreak(changes: DataFrame, keys: list[str], tracked: list[str]) -> list[str]:
+    """Order of changes with an equal sequence: order date and ids, then the row's content."""
+    rest = [c for c in changes.columns if c not in (*S.CHANGE_ORDER, *keys, *tracked, S.SEQ)]
+    return [*S.CHANGE_ORDER, *tracked, *rest]
+
+
+def customer_history(bronze: DataFrame) -> DataFrame:
+    changes = S.silver_customers(bronze, ordered=True)
+    order = tiebreak(changes, CUSTOMER_DIM_KEYS, CUSTOMER_TRACKED)
+    return scd2(changes, CUSTOMER_DIM_KEYS, S.SEQ, CUSTOMER_TRACKED, order).drop(*S.CHANGE_ORDER)
+
+
+def product_history(bronze: DataFrame) -> DataFrame:
+    changes = S.silver_products(bronze, ordered=True)
+    order = tiebreak(changes, PRODUCT_DIM_KEYS, PRODUCT_TRACKED)
+    return scd2(changes, PRODUCT_DIM_KEYS, S.SEQ, PRODUCT_TRACKED, order).drop(*S.CHANGE_ORDER)
+
+
 class Medallion:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize_bronze: bool = True,
-                 ntile_method: str = "auto", ntile_rows_per_range: int | None = None):
+                 ntile_method: str = "range", ntile_ranges: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize_bronze = materialize_bronze
         self.ntile_method = ntile_method
-        self.ntile_kw = {"rows_per_range": ntile_rows_per_range} if ntile_rows_per_range else {}
+        self.ntile_kw = {"ranges": ntile_ranges}
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -50,11 +69,11 @@ class Medallion:
 
     @property
     def dim_customers(self) -> DataFrame:
-        return scd2(self.silver_customers, CUSTOMER_DIM_KEYS, S.SEQ, CUSTOMER_TRACKED)
+        return customer_history(self.bronze)
 
     @property
     def dim_products(self) -> DataFrame:
-        return scd2(self.silver_products, PRODUCT_DIM_KEYS, S.SEQ, PRODUCT_TRACKED)
+        return product_history(self.bronze)
 
     @property
     def orders_enriched(self) -> DataFrame:

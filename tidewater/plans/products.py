@@ -16,12 +16,23 @@ PRODUCT_KEYS = ["product_id", "product_name", "category_name", "product_price",
 
 
 def product_metrics(enriched: DataFrame) -> DataFrame:
-    """22 aggregates in one grouped aggregation.
+    """22 aggregates by product.
 
-    The exact distinct customer count is rewritten by Catalyst into a
-    two-level aggregation (by product+customer, then by product), both map-side
-    combined, so a product bought by many customers is not collected in one task.
+    The exact distinct customer count runs on (product, customer) alone and is
+    joined to the other aggregates, so the many buffers are never grouped, and
+    shipped, by product and customer.  Both sides are small: one row a product.
     """
+    buyers = (enriched.select(*PRODUCT_KEYS, "customer_id").distinct()
+              .groupBy(*[F.col(c).alias(f"_{c}") for c in PRODUCT_KEYS])
+              .agg(F.count("customer_id").alias("unique_customers")))
+    plain = _plain_metrics(enriched)
+    same = [plain[c].eqNullSafe(buyers[f"_{c}"]) for c in PRODUCT_KEYS]
+    cols = plain.columns
+    cols.insert(cols.index("first_order_date"), "unique_customers")
+    return plain.join(buyers, same).select(*cols)
+
+
+def _plain_metrics(enriched: DataFrame) -> DataFrame:
     seg = F.col("customer_segment")
     st = F.col("order_status")
     return enriched.groupBy(*PRODUCT_KEYS).agg(
@@ -34,7 +45,6 @@ def product_metrics(enriched: DataFrame) -> DataFrame:
         exact_avg("discount_rate").alias("avg_discount_rate"),
         exact_avg("profit_ratio").alias("avg_profit_ratio"),
         exact_avg("product_price").alias("avg_price_charged"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         F.count_if(seg == SEGMENT_CONSUMER).alias("consumer_orders"),
@@ -65,18 +75,18 @@ def _tiebreak():
     return [asc(c) for c in PRODUCT_KEYS]
 
 
-def product_quantiles(enriched: DataFrame, ntile_method: str = "auto",
-                      rows_per_range: int | None = None) -> DataFrame:
+def product_quantiles(enriched: DataFrame, ntile_method: str = "range",
+                      ranges: int | None = None) -> DataFrame:
     """Metrics + rates + revenue quintile (ntile 5) and margin quartile (ntile 4)."""
     return ntile_columns(product_rates(product_metrics(enriched)), [
         ("revenue_quintile", 5, [desc("total_revenue")] + _tiebreak()),
         ("margin_quartile", 4, [desc("avg_profit_per_order")] + _tiebreak()),
-    ], method=ntile_method, **({"rows_per_range": rows_per_range} if rows_per_range else {}))
+    ], method=ntile_method, ranges=ranges)
 
 
-def products360(enriched: DataFrame, audit: bool = False, ntile_method: str = "auto",
-                rows_per_range: int | None = None) -> DataFrame:
-    ranked = product_quantiles(enriched, ntile_method, rows_per_range)
+def products360(enriched: DataFrame, audit: bool = False, ntile_method: str = "range",
+                ranges: int | None = None) -> DataFrame:
+    ranked = product_quantiles(enriched, ntile_method, ranges)
     t = F.col("total_orders")
     out = (ranked
            .withColumn("revenue_score", score_from_rank(F.col("revenue_quintile"), 6, t))

@@ -46,7 +46,7 @@ RAW_COLUMNS = [
     ("Order Item Cardprod Id", LongType()),
     ("Order Item Discount", MONEY),
     ("Order Item Discount Rate", MONEY),
-    ("Order Item Id", IntegerType()),
+    ("Order Item Id", LongType()),
     ("Order Item Product Price", MONEY),
     ("Order Item Profit Ratio", MONEY),
     ("Order Item Quantity", IntegerType()),
@@ -93,8 +93,9 @@ def raw_schema(with_corrupt: bool = True) -> StructType:
 
 
 def raw_text_schema() -> StructType:
-    return StructType([StructField(normalize_name(n), StringType(), True)
-                       for n, _ in RAW_COLUMNS])
+    """Landing lines as text under their header names, with the raw line of those of a wrong length."""
+    return StructType([*[StructField(n, StringType(), True) for n, _ in RAW_COLUMNS],
+                       StructField(CORRUPT_COL, StringType(), True)])
 
 
 def bronze_columns() -> list[str]:
@@ -159,8 +160,6 @@ SILVER_ORDER_COLUMNS = [
     ("shipping_date_dateorders", "shipping_date"),
 ]
 
-SILVER_ORDERS = [s for _, s in SILVER_ORDER_COLUMNS]
-
 CUSTOMER_DIM_KEYS = ["customer_id"]
 CUSTOMER_TRACKED = ["customer_segment", "customer_zipcode"]
 PRODUCT_DIM_KEYS = ["product_id"]

@@ -43,13 +43,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared (cluster-visible) working folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a private local
-    folder only when the setting is missing, which happens in tests.
+    Reads ``spark.checkpoint.dir`` from the session.  Only a local session may
+    go without it (tests): it gets a private folder; a cluster session fails.
     Also points the SparkContext checkpoint dir at it so that
     ``DataFrame.checkpoint()`` writes there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewater-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
@@ -66,3 +68,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(the store's file system, the path) as Spark sees them: works for every scheme."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names below a folder of any store; empty if it doesn't exist, other errors are raised."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
+from ..session import children, delete_path, scratch_path
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -38,3 +40,30 @@ def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str | Non
         w = w.option("encoding", encoding)
     w.csv(path)
     return path
+
+
+def publish_table(df: DataFrame, path: str, kept: int = 2) -> str:
+    """Fully recomputed table as a new version folder below ``path``.
+
+    Readers see a version only once Spark has committed it, so never a half
+    written table; the newest ``kept`` versions stay for readers still at work.
+    """
+    spark = df.sparkSession
+    done = _versions(spark, path)
+    number = max(int(time.time() * 1000), int(done[-1][2:]) + 1 if done else 0)
+    df.write.parquet(f"{path}/v={number:015d}")
+    for name in _versions(spark, path)[:-kept]:
+        delete_path(spark, f"{path}/{name}")
+    return path
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in children(spark, path) if n.startswith("v=") and "_SUCCESS" in children(spark, f"{path}/{n}")]
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version of a published table."""
+    done = _versions(spark, path)
+    if not done:
+        raise FileNotFoundError(f"no published version below {path}")
+    return spark.read.parquet(f"{path}/{done[-1]}")

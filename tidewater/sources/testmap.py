@@ -29,7 +29,7 @@ SEGMENT_BY_MKTSEGMENT = {"BUILDING": "Consumer", "AUTOMOBILE": "Corporate", "MAC
 # Defect kinds injected into the landing text, chosen by (order key + line number) mod 97.
 DEFECT_MODULUS = 97
 DEFECTS = {0: "zero_quantity", 1: "bad_order_date", 2: "missing_status",
-           3: "zero_price", 4: "text_in_int", 5: "bad_ship_date"}
+           3: "zero_price", 4: "text_in_int", 5: "bad_ship_date", 6: "text_in_category"}
 
 
 def _case(col: Column, mapping: dict, default) -> Column:
@@ -185,6 +185,7 @@ def raw_text_lines(spark: SparkSession, sf_dir: str, defects: bool = True) -> Da
         "missing_status": ("order_status", F.lit(None).cast("string")),
         "zero_price": ("order_item_product_price", F.lit("0.0000")),
         "text_in_int": ("order_id", F.concat(F.lit("X"), F.col("l_orderkey").cast("string"))),
+        "text_in_category": ("category_id", F.lit("n/a")),       # no rule reads this column
         "bad_ship_date": ("shipping_date_dateorders", F.lit("not a date")),
     }
     for name, (column, value) in broken.items():
