@@ -73,7 +73,7 @@ def sainte_lague(rows: DataFrame, group: list[str], order: str, weight: str, sea
         Window.partitionBy(*group).orderBy((F.col(weight) / (2 * F.col("_k") - 1)).desc(), F.col(order), F.col("_k"))))
     won = ranked.where("_r <= _open").groupBy(*group, order).agg(F.count(F.lit(1)).alias("_won"))
     keys = [*group, order]
-    return (base.join(won, keys, "left")
+    return (base.join(won.hint("merge"), keys, "left")
             .withColumn(out, F.col("_sure") + F.coalesce("_won", F.lit(0)))
             .drop("_t", "_n", "_sure", "_top", "_open", "_won"))
 
@@ -117,7 +117,8 @@ class Mix:
                   .withColumn("_used", F.coalesce(F.sum("_len").over(earlier(seeded)), F.lit(0)))
                   .withColumn("chosen", F.greatest(F.lit(0), F.least(F.col("_len"), F.col("some") - F.col("_used"))))
                   .withColumn("before", F.coalesce(F.sum("chosen").over(earlier(key.orderBy("b"))), F.lit(0))))
-        self.blocks = chosen.select("source_no", "shard", "b", "chosen", "before")
+        # Spark estimates exploded rows by the small table they come from; they must not be broadcast
+        self.blocks = chosen.select("source_no", "shard", "b", "chosen", "before").hint("merge")
         # documents end to end
         keyed = sized.join(self.shards.withColumnsRenamed({"source": "_s", "shard": "_h"}),
                            F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h"))).drop("_s", "_h")
@@ -141,7 +142,7 @@ class Mix:
         size, at, b = F.col("size"), F.col("at"), self.block
         cut = self.placed.where("size > 0 and some > 0").select("uid", "source_no", "shard", "size", "at", F.explode(F.sequence(
             F.floor(at / b), F.floor((at + size - 1) / b))).alias("b"))
-        hit = cut.join(self.blocks.where("chosen > 0").select("source_no", "shard", "b", "chosen"), ["source_no", "shard", "b"])
+        hit = cut.join(self.blocks.where("chosen > 0").select("source_no", "shard", "b", "chosen").hint("merge"), ["source_no", "shard", "b"])
         lo = F.greatest(F.col("b") * b - at, F.lit(0))
         hi = F.least(F.col("b") * b + F.col("chosen") - at, size)
         return (hit.select("uid", lo.alias("lo"), hi.alias("hi")).where("lo < hi")

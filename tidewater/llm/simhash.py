@@ -187,7 +187,7 @@ def links(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     spread = fps.select("fp").mapInArrow(run, "anchor long, fp long, home boolean")
     homes = fps.select("fp").mapInArrow(
         lambda batches: (b.filter(b.column(2)) for b in run(batches)), "anchor long, fp long, home boolean")
-    probe = spread.select("anchor", F.col("fp").alias("x"), "home")
+    probe = spread.select("anchor", F.col("fp").alias("x"), "home").hint("merge")   # far larger than its estimate
     near = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= bits
     return (probe.join(homes.select("anchor", F.col("fp").alias("y")), "anchor")
             .where(near & (~F.col("home") | (F.col("x") < F.col("y"))))
