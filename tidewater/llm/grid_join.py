@@ -107,7 +107,8 @@ def blocks(vectors: DataFrame, eps: float, axes: dict[int, np.ndarray], block_ro
     parts = -(-n // (4 * block_rows)) + 1
     order = ["label", "dim", "cell", "gid"]
     placed = save(vectors.mapInArrow(project, shape), "ego-cells")
-    ordered = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # a session may deal out more ranges than asked for; full blocks need no more than these
+    ordered = placed.repartitionByRange(parts, *order).coalesce(parts).sortWithinPartitions(*order)
 
     def cut(batches):
         part, number = TaskContext.get().partitionId(), 0
