@@ -37,7 +37,7 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 8 << 20):
+def slices(batch: pa.RecordBatch, col: str, max_bytes: int = 1 << 20):
     """Cut a record batch so that each piece holds about ``max_bytes`` of ``col``.
 
     A single longer value forms a piece of its own; nothing is cut or dropped.

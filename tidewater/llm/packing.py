@@ -235,7 +235,7 @@ def piece_table(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: in
         seen = np.zeros(capacity + 1, dtype=np.int64)
         enc = encoder(path)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 4 << 20):
                 ids, off = enc.encode(batch.column(1), end_id)
                 n = np.diff(off)
                 pieces = -(-n // capacity)

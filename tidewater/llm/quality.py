@@ -24,7 +24,7 @@ _CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456
 
 
 def _class_table() -> np.ndarray:
-    table = np.full(256, len(_CLASSES) + 1, dtype=np.int64)       # control bytes
+    table = np.full(256, len(_CLASSES) + 1, dtype=np.int8)        # control bytes
     table[0x80:] = len(_CLASSES)
     for i, chars in enumerate(_CLASSES):
         table[[ord(c) for c in chars]] = i

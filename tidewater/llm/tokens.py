@@ -47,7 +47,7 @@ class WordEncoder:
 
     SEPARATOR = "!"                                # one id, never part of a run of letters
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.lib = Tokenizer.from_file(path)

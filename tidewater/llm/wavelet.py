@@ -215,7 +215,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2,
                 names=["part", "shard", "n_docs", "n_ids", "file"])
 
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 4 << 20):
                 ids, off = enc.encode(batch.column(1), end_id)
                 lo = 0
                 while lo < batch.num_rows:
