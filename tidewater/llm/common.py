@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +60,45 @@ def list_offsets(counts: np.ndarray) -> np.ndarray:
     out = np.zeros(len(counts) + 1, dtype=np.int64)
     np.cumsum(counts, out=out[1:])
     return out
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` with the content locator (__tw_file, __tw_row): hash of the file path, row in the file.
+
+    Rows that do not come straight from files are stored first.
+    """
+    def add(df):
+        return df.select("*", F.xxhash64("_metadata.file_path").alias("__tw_file"), F.col("_metadata.row_index").alias("__tw_row"))
+
+    try:
+        return add(docs)
+    except AnalysisException:
+        return add(save(docs, "located-input"))
+
+
+#: Bits of the filter that keeps rows without a partner out of shuffles: at most 2 MB are broadcast.
+FILTER_BITS, _PER_ROW = 1 << 24, 1 << 15
+
+
+def maybe_among(rows: DataFrame, hits: DataFrame, *key: str) -> DataFrame:
+    """``rows`` with __tw_maybe: false only if the row's key is surely not among ``hits``.
+
+    The keys set bits of a map of fixed size, whatever their number; with
+    very many of them it says "maybe" more often, never wrongly "no".
+    """
+    bit = F.pmod(F.xxhash64(*key), F.lit(FILTER_BITS))
+    number, at = F.floor(bit / _PER_ROW).cast("int"), (bit % _PER_ROW).cast("int")
+    maps = (hits.select(number.alias("__tw_no"), at.cast("long").alias("at")).groupBy("__tw_no")
+            .agg(F.bitmap_construct_agg("at").alias("__tw_map")))          # FILTER_BITS / _PER_ROW rows of 4 kB at most
+    byte = F.conv(F.hex(F.substring(F.col("__tw_map"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("__tw_no", number).join(F.broadcast(maps), "__tw_no", "left")
+            .withColumn("__tw_maybe", F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop("__tw_no", "__tw_map"))
+
+
+def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Located ``rows`` but for the locators of ``dropped``; few other rows are shuffled."""
+    key = ["__tw_file", "__tw_row"]
+    gone = save(dropped.select(*key), "dropped-rows")
+    flagged = maybe_among(rows, gone, *key)
+    checked = flagged.where("__tw_maybe").join(gone.hint("merge"), key, "left_anti")
+    return flagged.where("not __tw_maybe").unionByName(checked.select(*flagged.columns)).drop("__tw_maybe")

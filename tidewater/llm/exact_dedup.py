@@ -13,13 +13,12 @@ Only DataFrame operations run on the executors.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
 
-from .common import save, text_or_empty
+from .common import located, maybe_among, save, text_or_empty, without_rows
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -29,43 +28,10 @@ _STATE = {
 }
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with the content locator (__tw_file, __tw_row): hash of the file path, row in the file.
-
-    Rows that do not come straight from files are stored first.
-    """
-    def add(df):
-        return df.select("*", F.xxhash64("_metadata.file_path").alias("__tw_file"), F.col("_metadata.row_index").alias("__tw_row"))
-
-    try:
-        return add(docs)
-    except AnalysisException:
-        return add(save(docs, "dedup-input"))
-
-
 def _digest(df: DataFrame) -> DataFrame:
     return df.withColumn("__tw_digest", F.unhex(F.sha2(F.encode(text_or_empty(), "UTF-8"), 256)))
 
 
-#: Bits of the filter that keeps rows without a copy out of shuffles: at most 2 MB are broadcast.
-FILTER_BITS, _PER_ROW = 1 << 24, 1 << 15
-
-
-def maybe_hit(rows: DataFrame, hits: DataFrame) -> DataFrame:
-    """``rows`` with __tw_maybe: false only if the row's digest is surely not among ``hits``.
-
-    The digests set bits of a map of fixed size, whatever their number; with
-    very many of them it says "maybe" more often, never wrongly "no".
-    """
-    bit = F.pmod(F.xxhash64("__tw_digest"), F.lit(FILTER_BITS))
-    number, at = F.floor(bit / _PER_ROW).cast("int"), (bit % _PER_ROW).cast("int")
-    maps = (hits.select(number.alias("__tw_no"), at.cast("long").alias("at")).groupBy("__tw_no")
-            .agg(F.bitmap_construct_agg("at").alias("__tw_map")))          # FILTER_BITS / _PER_ROW rows of 4 kB at most
-    byte = F.conv(F.hex(F.substring(F.col("__tw_map"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (rows.withColumn("__tw_no", number).join(F.broadcast(maps), "__tw_no", "left")
-            .withColumn("__tw_maybe", F.coalesce(F.getbit(byte, at % 8) == 1, F.lit(False))).drop("__tw_no", "__tw_map"))
-
-
 def run_state(arrivals_path: str, schema, folder: str, spark) -> None:
     """Feed stored arrivals through the keyed state; changed keys of each micro-batch go to ``folder``/groups."""
     arrivals = spark.readStream.schema(schema).parquet(arrivals_path)
@@ -110,7 +76,7 @@ def decide(docs: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataF
     hits = save(groups, "dedup-hits")
 
     content = _digest(rows).select("__tw_digest", text_or_empty().alias("text"), "doc_id", "__tw_file", "__tw_row")
-    texts = save(maybe_hit(content, hits).where("__tw_maybe").drop("__tw_maybe").join(hits.hint("merge"), "__tw_digest"),
+    texts = save(maybe_among(content, hits, "__tw_digest").where("__tw_maybe").drop("__tw_maybe").join(hits.hint("merge"), "__tw_digest"),
                  "dedup-hit-texts")
     keepers = texts.where("__tw_file = keeper.__tw_file and __tw_row = keeper.__tw_row").select(
         F.col("__tw_digest").alias("_d"), F.col("text").alias("kept_text"))
@@ -149,8 +115,4 @@ def exact_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, folder: str | None = None) -> DataFrame:
     """The rows that stay, with the columns of ``docs``; rows without a copy are not shuffled."""
     rows, located_docs = decide(docs, folder)
-    dropped = save(rows.where("not kept").select("__tw_digest", "__tw_file", "__tw_row"), "dedup-dropped")
-    flagged = maybe_hit(_digest(located_docs), dropped)
-    checked = flagged.where("__tw_maybe").join(dropped.drop("__tw_digest").hint("merge"), ["__tw_file", "__tw_row"], "left_anti")
-    names = [f"`{c}`" for c in docs.columns]
-    return flagged.where("not __tw_maybe").select(*names).unionByName(checked.select(*names))
+    return without_rows(located_docs, rows.where("not kept")).select(*[f"`{c}`" for c in docs.columns])

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, save, text_or_empty
+from .common import WORD, located, save, text_or_empty
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -162,18 +162,23 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself, with the columns of ``docs``: whole copies of each document as often as its
     shard is taken whole, and one row with the words of its chosen blocks (the whole text if all are)."""
-    named = save(docs.select("*", F.monotonically_increasing_id().alias("__mix_uid")), "mix-docs")
-    plan = Mix(named, uid=F.col("__mix_uid"), **options)
-    use = plan.placed.select(F.col("uid").alias("__mix_uid"), F.col("whole").alias("__mix_whole"), F.col("size").alias("__mix_size")).join(
-        plan.ranges().select(F.col("uid").alias("__mix_uid"), F.col("parts").alias("__mix_parts")), "__mix_uid", "left")
-    rows = named.join(use.where("__mix_whole > 0 or __mix_parts is not null"), "__mix_uid")
+    rows = located(docs)
+    plan = Mix(rows, uid=F.struct("__tw_file", "__tw_row"), **options)
+    use = (plan.placed.select("uid", F.col("whole").alias("__mix_whole"), F.col("size").alias("__mix_size"))
+           .join(plan.ranges().withColumnRenamed("parts", "__mix_parts"), "uid", "left")
+           .where("__mix_whole > 0 or __mix_parts is not null").select("uid.*", "__mix_whole", "__mix_size", "__mix_parts"))
+    use = save(use, "mix-use")
+    # whole copies, then one row with the chosen words; a document is joined once
+    some = F.when(F.col("__mix_parts").isNotNull(), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    copies = F.concat(F.array_repeat(F.lit(False), F.col("__mix_whole").cast("int")), some)
+    out = rows.join(use.hint("merge"), ["__tw_file", "__tw_row"]).withColumn("__mix_cut", F.explode(copies))
     n_words = F.aggregate("__mix_parts", F.lit(0).cast("long"), lambda a, p: a + p["hi"] - p["lo"])
-    cut = F.concat_ws(" ", F.flatten(F.transform("__mix_parts", lambda p: F.slice(
-        F.col("__mix_words"), (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int")))))
-    copies = rows.where("__mix_whole > 0").withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("__mix_whole").cast("int"))))
-    partial = (rows.where("__mix_parts is not null")
-               .withColumn("__mix_words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-               .withColumn("text", F.when(n_words == F.col("__mix_size"), F.col("text")).otherwise(cut)))
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    chosen = F.aggregate(F.array(words), F.lit(""), lambda a, w: F.concat_ws(" ", F.flatten(F.transform(
+        "__mix_parts", lambda p: F.slice(w, (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int"))))))
+    partial = F.col("__mix_cut") & (n_words < F.col("__mix_size"))
+    out = out.withColumn("text", F.when(partial, chosen).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        partial = partial.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return copies.select(*docs.columns).unionByName(partial.select(*docs.columns))
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(partial, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*[f"`{c}`" for c in docs.columns])

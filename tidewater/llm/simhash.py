@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save, slices, text_or_empty
+from .common import located, save, slices, text_or_empty, without_rows
 from .components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -84,17 +84,19 @@ def fingerprints_of(texts: pa.Array, width: int = SHINGLE, seed: int = SEED, chu
     return np.packbits(ones, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): a bit of fp (long, same 64 bits) is 1 if set in over half the XXH64 hashes of the word
+def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED, *kept: str) -> DataFrame:
+    """(doc_id, the long columns ``kept``, fp): a bit of fp (long, same 64 bits) is 1 if set in over half the XXH64 hashes of the word
     shingles of the text with A-Z in lower case; fewer words than ``width`` form one shingle, no words give 0."""
     def run(batches):
         for whole in batches:
             for b in slices(whole, "text"):
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(fingerprints_of(b.column(1), width, seed).view(np.int64))], names=["doc_id", "fp"])
+                n = b.num_columns - 1
+                fp = pa.array(fingerprints_of(b.column(n), width, seed).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*b.columns[:n], fp], names=[*names, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    names = ["doc_id", *kept]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, text_or_empty().alias("text")).mapInArrow(
+        run, ", ".join(f"{n} long" for n in [*names, "fp"]))
 
 
 # --- covering code ------------------------------------------------------------------------
@@ -196,6 +198,13 @@ def links(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
 
 # --- the job ------------------------------------------------------------------------------
 
+def classes(fp: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """(fp, component): the smallest fingerprint that each stored fingerprint reaches by links."""
+    distinct = save(fp.select("fp").distinct(), "simhash-distinct")
+    member = components(links(distinct, bits))
+    return distinct.join(member, distinct["fp"] == member["node"], "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def groups(docs: DataFrame, width: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp, component_id for every row.
 
@@ -205,11 +214,7 @@ def groups(docs: DataFrame, width: int = SHINGLE, bits: int = MAX_BITS) -> DataF
     table gives an empty result; other columns are ignored.
     """
     fp = save(fingerprints(docs, width), "simhash")
-    distinct = save(fp.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    member = components(links(distinct, bits))
-    named = distinct.join(member, distinct["fp"] == member["node"], "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("component"))
-    named = save(named, "simhash-members")
+    named = save(fp.groupBy("fp").agg(F.min("doc_id").alias("low")).join(classes(fp, bits), "fp"), "simhash-members")
     low = named.groupBy("component").agg(F.min("low").alias("component_id"))
     ids = named.join(low, "component").select("fp", "component_id")
     return fp.join(ids, "fp").select("doc_id", "fp", "component_id")
@@ -222,10 +227,11 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, bits: int = MAX_BITS)
 
 def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
     """One document of each group (its smallest doc_id; one row of it if rows repeat), with the columns of ``docs``."""
-    rows = save(docs.withColumn("__sh_uid", F.monotonically_increasing_id()), "simhash-docs")
-    found = groups(rows.select(F.col("__sh_uid").alias("doc_id"), "text"), width, bits)
-    ids = rows.select(F.col("__sh_uid").alias("uid"), F.col("doc_id").alias("__sh_id"))
-    own = found.join(ids, found["doc_id"] == ids["uid"]).groupBy("component_id").agg(
-        F.min(F.struct(F.col("__sh_id").isNull().alias("none"), F.col("__sh_id").alias("id"), F.col("uid"))).alias("keep"))
-    keep = own.select(F.col("keep.uid").alias("__sh_uid"))
-    return rows.join(keep, "__sh_uid", "left_semi").select(*docs.columns)
+    key = ("__tw_file", "__tw_row")
+    rows = located(docs)
+    fp = save(fingerprints(rows, width, SEED, *key), "simhash")
+    # first row of each fingerprint, then of each class: null doc_ids last, then by doc_id and place
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *key))
+    best = fp.groupBy("fp").agg(first.alias("best")).join(classes(fp, bits), "fp")
+    best = save(best.groupBy("component").agg(F.min("best").alias("best")).select("best.*"), "simhash-kept")
+    return without_rows(rows, fp.join(best.select(*key).hint("merge"), list(key), "left_anti")).select(*[f"`{c}`" for c in docs.columns])
