@@ -208,6 +208,38 @@ def test_mix_awkward_rows(spark):
     assert M.mixed_documents(frame(spark, [])).count() == 0
 
 
+def test_small_source_meets_its_target_in_a_large_corpus(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a "), 10).alias("text"), F.lit("a").alias("source"))
+    docs = docs.union(spark.range(1000, 1400).select("id", F.repeat(F.lit("b "), 30_000), F.lit("b")))
+    got = M.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert {r.source for r in got} == {"a", "b"}
+    assert [r for r in got if abs(r.taken - r.target) >= 64] == []
+
+
+def test_words_reach_shards_with_room(spark):
+    r = random.Random(3)
+    quotas = [lambda n: 2 * n, lambda n: 2 * n - 5, lambda n: n, lambda n: 7 * 4, lambda n: 0, lambda n: 2 * n]
+    sizes = [[r.choice([0, 1, 2, 3, 5, 17, 400]) for _ in range(25)] for _ in quotas[:-1]] + [[0, 0]]
+    rows = [(g, i, n, quotas[g](sum(sizes[g]))) for g in range(len(quotas)) for i, n in enumerate(sizes[g])]
+    df = spark.createDataFrame(rows, "source_no int, shard int, shard_size long, quota long")
+    got = {(x.source_no, x.shard): x.words for x in M.shard_words(df, 4, 2).collect()}
+    for g, own in enumerate(sizes):
+        left, want = quotas[g](sum(own)), defaultdict(int)
+        for _, i, k in sorted((-n / (2 * k - 1), i, k) for i, n in enumerate(own) for k in range(1, -(-2 * n // 4) + 1)):
+            words = min(4, 2 * own[i] - 4 * (k - 1), left)
+            want[i] += words
+            left -= words
+        assert left == 0 and {i: got[g, i] for i in range(len(own))} == {i: want[i] for i in range(len(own))}, g
+
+
+def test_many_small_sources_keep_to_a_block_of_their_targets(spark):
+    rows = [(i, "w " * (12 + i % 9), "en", f"s{i:03}", 1) for i in range(150)] + [(1000 + i, "w " * 900, "en", "zz", 1) for i in range(20)]
+    taken, want = check_mix(rows, M.mix(frame(spark, rows)).collect())
+    assert all(abs(taken[s] - t) < 64 for s, t in want.items())
+    assert abs(sum(taken.values()) - sum(want.values())) <= 0.5 and all(taken[s] == t for s, t in want.items() if s != "zz")
+
+
 def test_mix_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()]

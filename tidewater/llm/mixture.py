@@ -1,13 +1,17 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-Words are dealt in blocks of equal size.  The block total is apportioned to the
-sources by highest quotients target / (2 k - 1), each source's blocks to its
-shards the same way, and within a (source, shard) the documents lie end to end
-in a seeded order: every block is taken as often as the quota covers the
-whole shard, the rest goes to blocks in seeded order.  A document takes the words of
-its blocks.  Only DataFrame operations; everything that is sorted in one place
-has one row per source, or one row per shard of a source, and the number of
-shards grows with the root of the corpus.
+Words are dealt in blocks of equal size.  A source that is held at ``most``
+times its words takes just these; the others have the whole blocks of their
+targets for sure, and what is left goes to one more block each by highest
+quotients target / (2 k - 1).  Each source's words go to its shards in blocks by highest
+quotients too.  No shard gets more than ``most`` times its words: its last block is
+shorter and the words go on to the next quotient.  Within a
+(source, shard) the documents lie end to end in a seeded order: every block is
+taken as often as the quota covers the whole shard, the rest goes to blocks in
+seeded order.  A document takes the words of its blocks.  Only DataFrame
+operations; everything that is sorted in one place has one row per source, or a
+few per shard of a source, and the number of shards of a source grows with the
+root of its words.
 """
 
 from __future__ import annotations
@@ -78,6 +82,55 @@ def sainte_lague(rows: DataFrame, group: list[str], order: str, weight: str, sea
             .drop("_t", "_n", "_sure", "_top", "_open", "_won"))
 
 
+def source_words(sources: DataFrame, block: int, most: int) -> DataFrame:
+    """(source_no, source_size, target) -> adds words: their sum is that of the targets, each within a block of its own.
+
+    Sources held at ``most`` times their words take exactly that; the others a block more or less than whole.
+    """
+    everything = Window.partitionBy()
+    limit = F.col("source_size") * most
+    held = F.col("target") >= limit
+    base = (sources.withColumn("_n", F.floor(F.col("target") / block))
+            .withColumn("_sure", F.when(held, limit).otherwise(F.col("_n") * block))
+            .withColumn("_last", F.least(F.lit(block), limit - F.col("_sure")))
+            .withColumn("_open", F.round(F.sum("target").over(everything)).cast("long") - F.sum("_sure").over(everything)))
+    up = Window.orderBy((F.col("target") / (2 * F.col("_n") + 1)).desc(), "source_no").rowsBetween(Window.unboundedPreceding, -1)
+    more = F.greatest(F.lit(0), F.least(F.col("_last"), F.col("_open") - F.coalesce(F.sum("_last").over(up), F.lit(0))))
+    return base.withColumn("words", F.col("_sure") + more).drop("_n", "_sure", "_last", "_open")
+
+
+def shard_words(shards: DataFrame, block: int, most: int) -> DataFrame:
+    """(source_no, shard, shard_size, quota) -> adds words: the quota of words dealt in blocks by highest quotients.
+
+    The k-th block of a shard has the quotient shard_size / (2 k - 1); the shard holds
+    ``most`` times its words, so its last block may be shorter.  With n shards, what
+    round(shard_size * (quota / block -+ n / 2) / all) blocks hold is below and above the
+    quota, so only a few quotients per shard are ranked, however large the quota is.
+    """
+    whole = Window.partitionBy("source_no")
+    size, quota = F.col("shard_size"), F.col("quota")
+    room = size * most
+    margin = (F.sum(F.when(size > 0, 1).otherwise(0)).over(whole) + 1) * block / 2
+    rounded = lambda words: F.floor(size / F.col("_all") * (words / block) + 0.5)
+    base = (shards.withColumn("_all", F.greatest(F.sum("shard_size").over(whole), F.lit(1))).withColumn("_margin", margin)
+            .withColumn("_n", F.ceil(room / block))
+            .withColumn("_sure", F.least(F.col("_n"), rounded(F.greatest(quota - F.col("_margin"), F.lit(0.0)))))
+            .withColumn("_top", F.when(quota + F.col("_margin") >= F.col("_all") * most, F.col("_n")).otherwise(
+                F.least(F.col("_n"), rounded(quota + F.col("_margin")))))
+            .withColumn("_held", F.least(room, F.col("_sure") * block))
+            .withColumn("_open", quota - F.sum("_held").over(whole)))
+    tried = base.where("_top > _sure").select("source_no", "shard", "shard_size", "_open", F.explode(
+        F.sequence(F.col("_sure") + 1, F.col("_top"))).alias("_k"))
+    tried = tried.withColumn("_len", F.least(F.lit(block), room - (F.col("_k") - 1) * block))
+    up = Window.partitionBy("source_no").orderBy((size / (2 * F.col("_k") - 1)).desc(), "shard", "_k").rowsBetween(
+        Window.unboundedPreceding, -1)
+    won = (tried.withColumn("_won", F.least(F.col("_len"), F.col("_open") - F.coalesce(F.sum("_len").over(up), F.lit(0))))
+           .where("_won > 0").groupBy("source_no", "shard").agg(F.sum("_won").alias("_won")))
+    return (base.join(won.hint("merge"), ["source_no", "shard"], "left")
+            .withColumn("words", F.col("_held") + F.coalesce("_won", F.lit(0)))
+            .drop("_all", "_margin", "_n", "_sure", "_top", "_held", "_open", "_won"))
+
+
 class Mix:
     """The plan of a mix: ``taken`` (per document row) and ``ranges`` (words of the partial pass)."""
 
@@ -88,18 +141,18 @@ class Mix:
                                  F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
                                  (uid if uid is not None else F.monotonically_increasing_id()).alias("uid")), "mix-sizes")
         words = sized.agg(F.sum("size")).first()[0] or 0
-        n_shards = int(words ** 0.5 / 32) + 1
-        sized = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(n_shards)).cast("int"))
-        shards = save(sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")), "mix-shards")
-        sources = source_targets(shards.groupBy("source").agg(F.sum("shard_size").alias("source_size")), weights, share, most)
-        sources = sources.withColumn("_seats", F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long"))
-        sources = save(sainte_lague(sources, [], "source_no", "target", "_seats", "quota"), "mix-sources")
+        # rows are joined by fine parts, as many as the largest source could need; a source's parts form its own number of shards
+        sized = sized.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(int(words ** 0.5 / 32) + 1)).cast("int"))
+        parts = save(sized.groupBy("source", "part").agg(F.sum("size").alias("part_size")), "mix-parts")
+        sources = source_targets(parts.groupBy("source").agg(F.sum("part_size").alias("source_size")), weights, share, most)
+        sources = save(source_words(sources, block, most).withColumnRenamed("words", "quota"), "mix-sources")
         self.sources = sources
-        own = shards.join(sources.select(F.col("source").alias("_s"), "source_no", "source_size", "target", "quota"),
-                          F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        dealt = sainte_lague(own, ["source_no"], "shard", "shard_size", "quota", "blocks")
+        n_shards = F.floor(F.sqrt("source_size") / 32) + 1
+        parts = parts.join(sources.select(F.col("source").alias("_s"), "source_no", "source_size", "target", "quota"),
+                           F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("shard", (F.col("part") % n_shards).cast("int"))
+        shards = parts.groupBy("source", "source_no", "source_size", "target", "quota", "shard").agg(F.sum("part_size").alias("shard_size"))
         size, words = F.col("shard_size"), F.col("words")
-        dealt = (dealt.withColumn("words", F.least(F.col("blocks") * block, size * most))
+        dealt = (shard_words(shards, block, most)
                  .withColumn("whole", F.when(size > 0, F.floor(words / size)).otherwise(0).cast("long"))
                  .withColumn("some", words - F.col("whole") * size)
                  .withColumn("n_blocks", F.ceil(size / block).cast("long")))
@@ -120,8 +173,9 @@ class Mix:
         # Spark estimates exploded rows by the small table they come from; they must not be broadcast
         self.blocks = chosen.select("source_no", "shard", "b", "chosen", "before").hint("merge")
         # documents end to end
-        keyed = sized.join(self.shards.withColumnsRenamed({"source": "_s", "shard": "_h"}),
-                           F.col("source").eqNullSafe(F.col("_s")) & (F.col("shard") == F.col("_h"))).drop("_s", "_h")
+        own = parts.select(F.col("source").alias("_s"), F.col("part").alias("_p"), "source_no", "shard").join(
+            self.shards.drop("source"), ["source_no", "shard"])
+        keyed = sized.join(own, F.col("source").eqNullSafe(F.col("_s")) & (F.col("part") == F.col("_p"))).drop("_s", "_p", "part")
         line = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id"), "doc_id", "size", "uid")
         placed = keyed.withColumn("at", F.coalesce(F.sum("size").over(
             line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
