@@ -68,6 +68,40 @@ def test_secrets_equal_brute_force(spark):
     assert S.secrets(frame(spark)).count() == len(odd_rows())                 # repeated rows stay
 
 
+def piece_spans(t):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
+        v = m.group()
+        if not (re.search("[0-9]", v) and re.search("[A-Za-z]", v)) or any(re.search(p, v) for p in S.ALLOW):
+            continue
+        hits = [(i, i + h.end()) for i in range(len(v)) if (h := re.match(S.ALLOW_PART, v[i:]))]
+        covered = {i for a, b in hits for i in range(a, b)}
+        for part in re.finditer("[^ ]{20,}", "".join(" " if i in covered else c for i, c in enumerate(v))):
+            out += [(m.start() + part.start() + a, 3, m.start() + part.start() + b) for a, _, b in entropy_spans_of(part.group())]
+    return out
+
+
+def entropy_spans_of(v):
+    least = next(b for p, b in S.CLASSES if re.search(p, v))
+    high = [i for i in range(len(v) - 19) if -sum(c / 20 * math.log2(c / 20) for c in Counter(v[i:i + 20]).values()) >= least - 1e-9]
+    return [(high[0], 3, high[-1] + 20)] if high else []
+
+
+def test_allow_list_suppresses_windows_not_runs(spark):
+    r = random.Random(4)
+    key = lambda n: "".join(r.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(n))
+    secret = ["b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQAAACD" + key(60), "sample_db/key=" + key(40),
+              key(300) + "dummy" + key(300), "abcdefghijexamplexample" + key(40) + "0" * 9 + "123456789" + key(40), "é x" + key(40) + "EXAMPLE😀"]
+    plain = ["Example0123456789abcdefghij", key(12) + "example" + key(12), "a1" + "0" * 5000, "123e4567-e89b-12d3-a456-426614174000",
+             "/usr/lib7/local/sample/python3/foo"]
+    texts = secret + plain
+    got = {x.doc_id: (x.spans, x.n_entropy) for x in S.secrets(frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        want = piece_spans(t)
+        assert got[i] == (",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base_spans(t) + want)), len(want)), t
+        assert bool(want) == (i < len(secret)), t
+
+
 # --- classifiers -----------------------------------------------------------------------------
 
 def area(score, label):

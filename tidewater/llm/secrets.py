@@ -5,8 +5,10 @@ Its character class (hexadecimal, one letter case with digits, any) sets the
 entropy that a window of 20 characters must reach.  The window slides by one
 character: its Shannon entropy is H = log2(W) - sum(c log2 c) / W over the
 character counts c, and a step changes only the counts of the character that
-leaves and the one that enters.  Candidates matching the allow-list are
-suppressed; base spans never are.  Only DataFrame operations.
+leaves and the one that enters.  Candidates that are UUIDs or paths as a
+whole are suppressed; of others the windows that overlap a match of the
+allow-list are, and each piece between the matches is scored by itself.  Base
+spans are never suppressed.  Only DataFrame operations.
 """
 
 from __future__ import annotations
@@ -30,13 +32,12 @@ _KEY = "[A-Za-z0-9+/_=-]"
 CANDIDATE = rf"(?<!{_KEY})(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z]){_KEY}{{{WINDOW},}}+"
 #: (class pattern, least bits per character); the first class that matches counts.
 CLASSES = ((r"^[0-9a-fA-F]+$", 3.0), (r"^([0-9a-z_=-]+|[0-9A-Z_=-]+)$", 3.5), (r"", 3.9))
-#: Candidates that are known not to be secrets.
+#: Candidates that are known not to be secrets as a whole, and what no window may overlap.
 ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted",
-    r"(?i)0123456789|abcdefghij|qwertyuiop|(.)\1{7}",
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"^/?[A-Za-z]+[0-9]*(/[A-Za-z]+[0-9]*)+/?$",
 )
+ALLOW_PART = r"(?i)example|sample|placeholder|changeme|dummy|redacted|0123456789|abcdefghij|qwertyuiop|(.)\1{7}"
 
 
 def _found(text: Column, pattern: str, no: int, value_group: int | None = None) -> Column:
@@ -96,6 +97,28 @@ def _least(value: Column) -> Column:
     return out
 
 
+def pieces(value: Column, window: int = WINDOW) -> Column:
+    """array<struct<at, len>>: the parts between the matches of ALLOW_PART in which a window fits.
+
+    A match is looked for at every character, so matches that overlap all count.
+    """
+    pattern = F.lit(rf"(?i)(.*?)(?:(?=({ALLOW_PART[4:]})).|\z)".replace(r"\1", r"\3"))
+    found = F.arrays_zip(F.regexp_extract_all(value, pattern, F.lit(1)).alias("gap"),
+                         F.regexp_extract_all(value, pattern, F.lit(2)).alias("match"))
+    kind = "array<struct<at:int,len:int>>"
+
+    def cut(acc, x):
+        start, size = acc["done"] + F.length(x["gap"]), F.length(x["match"])
+        part = F.array(F.struct(acc["free"].alias("at"), (start - acc["free"]).alias("len")))
+        out = F.when(start - acc["free"] >= window, F.concat(acc["out"], part)).otherwise(acc["out"])
+        return F.struct((start + F.least(size, F.lit(1))).alias("done"), F.greatest(acc["free"], start + size).alias("free"),
+                        out.cast(kind).alias("out"))
+
+    none = F.struct(F.lit(0).alias("done"), F.lit(0).alias("free"), F.array().cast(kind).alias("out"))
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.length(value).alias("len"))).cast(kind)
+    return F.when(value.rlike(ALLOW_PART), F.aggregate(found, none, cut)["out"]).otherwise(whole)
+
+
 def spans(found: DataFrame) -> DataFrame:
     """(uid, kind, start, end, value) of the spans that count, from rows (uid, hits)."""
     hit = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
@@ -107,7 +130,9 @@ def spans(found: DataFrame) -> DataFrame:
     allowed = F.lit(False)
     for pattern in ALLOW:
         allowed = allowed | value.rlike(pattern)
-    high = (placed.where((F.col("kind") == 3) & ~allowed)
+    high = (placed.where((F.col("kind") == 3) & ~allowed).withColumn("part", F.explode(pieces(value)))
+            .withColumn("start", F.col("start") + F.col("part.at"))
+            .withColumn("value", value.substr(F.col("part.at") + 1, F.col("part.len")))
             .withColumn("range", entropy_range(value, _least(value))).where("range.first is not null")
             .withColumn("end", F.col("start") + F.col("range.last") + WINDOW)
             .withColumn("start", F.col("start") + F.col("range.first")))
