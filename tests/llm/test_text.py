@@ -102,6 +102,18 @@ def test_allow_list_suppresses_windows_not_runs(spark):
         assert bool(want) == (i < len(secret)), t
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdefghijklmnopqrstuvwxyz",
+                                      "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+                                      "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"])
+def test_recall_of_random_keys(spark, alphabet):
+    r = random.Random(6)
+    keys = ["".join(r.choice(alphabet) for _ in range(20)) for _ in range(500)]
+    keys = [k for k in keys if re.search("[0-9]", k) and re.search("[A-Za-z]", k)]     # what a candidate must hold
+    rows = [(i, f"the key {k} of it", None, None, None) for i, k in enumerate(keys)]
+    found = S.secrets(frame(spark, rows)).where("n_entropy = 1").count()
+    assert found >= 0.99 * len(keys)
+
+
 # --- classifiers -----------------------------------------------------------------------------
 
 def area(score, label):

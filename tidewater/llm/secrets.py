@@ -30,8 +30,9 @@ MIN_VALUE = 6
 WINDOW = 20
 _KEY = "[A-Za-z0-9+/_=-]"
 CANDIDATE = rf"(?<!{_KEY})(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z]){_KEY}{{{WINDOW},}}+"
-#: (class pattern, least bits per character); the first class that matches counts.
-CLASSES = ((r"^[0-9a-fA-F]+$", 3.0), (r"^([0-9a-z_=-]+|[0-9A-Z_=-]+)$", 3.5), (r"", 3.9))
+#: (class pattern, least bits per character); the first class that matches counts.  A bound is the 0.1 % quantile of random
+#: windows over the smallest usual alphabet of the class: 16, 32 (base32) and 58 characters (base58).
+CLASSES = ((r"^[0-9a-fA-F]+$", 2.70), (r"^([0-9a-z_=-]+|[0-9A-Z_=-]+)$", 3.14), (r"", 3.44))
 #: Candidates that are known not to be secrets as a whole, and what no window may overlap.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
