@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import html_text as H
-from tidewater.llm import nnpu
+from tidewater.llm import classify, nnpu
 from tidewater.llm import quality as Q
 from tidewater.llm import secrets as S
 from tidewater.llm import toxicity as T
@@ -159,6 +159,15 @@ def test_classifiers_on_awkward_rows(spark, operator):
     assert len(none) == len(odd_rows()) and all(0 <= r.score <= 1 for r in none)
 
 
+def test_sample_is_bounded_where_an_id_repeats(spark):
+    rows = [(7, f"copy {i}", None, None, None) for i in range(500)] + [(100 + i, "x", None, None, None) for i in range(30)]
+    labels = spark.createDataFrame([(7, 1), (101, 1), (102, 1)], "doc_id long, quality int")
+    take = lambda df: sorted(map(tuple, classify.samples(df, labels, "quality", 3, 9, "t", 3, 31).collect()))
+    got = take(frame(spark, rows))
+    assert len(got) == 34 and len({r[:2] for r in got}) == 34
+    assert got == take(frame(spark, rows).repartition(5))
+
+
 def test_keep_good_keeps_columns(spark):
     docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
     kept = Q.keep_good(docs, labels)

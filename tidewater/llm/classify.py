@@ -20,9 +20,10 @@ def samples(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held:
             max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> DataFrame:
     """(positive boolean, text), stored: positives and unlabelled rows, neither of them held out.
 
-    Rows are taken in the order of a hash of their doc_id, so reruns agree.  The
-    ids of a sample are at most ``max_positive + max_unlabelled`` rows, which
-    bounds the broadcast side of the join that fetches their texts.
+    Ids are taken in the order of a hash, and of the rows that share a doc_id the
+    one whose text has the smallest hash, so reruns agree.  The ids of a sample are
+    at most ``max_positive + max_unlabelled`` rows, which bounds the broadcast side
+    of the join that fetches their texts, and the sample itself.
     """
     def first(df, n):
         ids = df.where(remainder(modulus) != held).select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
@@ -32,7 +33,9 @@ def samples(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held:
         first(docs, max_unlabelled).withColumn("positive", F.lit(False)))
     ids = save(ids.select(F.col("doc_id").alias("__id"), "positive").coalesce(1), f"{name}-ids")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return save(rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__id")).select("doc_id", "positive", "text"), f"{name}-sample")
+    found = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
+    one = found.groupBy("doc_id", "positive").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    return save(one, f"{name}-sample")
 
 
 def output(scored: DataFrame, modulus: int, held: int, threshold: float) -> DataFrame:
