@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, grid_join, html_text, mixture, packing, quality, secrets, simhash, toxicity, wavelet
+from . import (exact_dedup, grid_join, hard_negatives, html_text, mixture, packing, periodic_runs, quality, secrets, simhash,
+               toxicity, wavelet)
 from .common import table
 
 
@@ -53,10 +54,19 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_shards(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_source_mix, op3_simhash_near_dedup, op4_quality_pu, op5_secret_scan, op6_exact_dedup,
-        op7_toxicity_pu, op8_html_main_text, op9_best_fit_packing, op10_token_ids)}
+        op7_toxicity_pu, op8_html_main_text, op9_best_fit_packing, op10_token_ids,
+        op12_hard_negatives, op13_periodic_runs)}
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -75,6 +85,21 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS y
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                   AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                     CAST(list_inner_product(a.y, b.y) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.y) = len(b.y) WHERE a.vec_id % 100 = 0),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, p.other_id AS positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+               n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10""",
 }
 
 
