@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, grid_join, hard_negatives, html_text, mixture, packing, periodic_runs, quality, secrets, simhash,
-               toxicity, wavelet)
+from . import (exact_dedup, grid_join, hard_negatives, html_text, mixture, packing, periodic_runs, quality, recurrent_lm, secrets,
+               simhash, toxicity, wavelet)
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -66,7 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_source_mix, op3_simhash_near_dedup, op4_quality_pu, op5_secret_scan, op6_exact_dedup,
         op7_toxicity_pu, op8_html_main_text, op9_best_fit_packing, op10_token_ids,
-        op12_hard_negatives, op13_periodic_runs)}
+        op11_recurrent_lm, op12_hard_negatives, op13_periodic_runs)}
 
 
 ORACLE_SQL: dict[str, str] = {
