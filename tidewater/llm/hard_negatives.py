@@ -30,10 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-SCALE, LEVELS, PLANES = 256, 4, 6
+SCALE, LEVELS, BLOCK_LEVELS, PLANES = 256, 4, 3, 6
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 10, 30, 90
 LEAST_ROWS, MOST_ROWS, QUERY_BLOCK = 4096, 131072, 512
-_CELLS = 1 << 20                                  # (query, row) pairs looked at together
+_CELLS = 1 << 18                                  # (query, row) pairs looked at together
 _LIMIT = 1 << 27                                  # largest integer component, so that scores fit 64 bits
 _NEVER = np.iinfo(np.int64).min
 
@@ -109,63 +109,79 @@ class Group:
         self.codes, self.align, self.rest = encode(self.y, self.turn)
         self.ones = np.bitwise_count(self.codes).sum(axis=2).astype(np.float64)
         self.norm = _units(self.y)[1]
+        self.most = int(np.abs(self.y).max(initial=0))
+        self.small = self.most < 2**15
 
-    def _product(self, q, level, i, j):
-        """Estimated <q, b> for query rows ``i`` against rows ``j`` (broadcast together)."""
+    def _product(self, q, level, i=None, j=None):
+        """Estimated <q, b>: of all queries with all rows, or of the pairs (i, j)."""
         plane, step, low, total, _ = q
+        code = self.codes[:, level]
         count = 0
         for k in range(plane.shape[2]):
-            both = plane[i, level, k] & self.codes[j, level]
-            count = count + (np.bitwise_count(both).sum(axis=-1).astype(np.float64) * 2.0**k)
-        inside = step[i, level] * count + low[i, level] * self.ones[j, level]
-        return (2 * inside - total[i, level]) / np.sqrt(self.dim)
-
-    def _bounds(self, q, level, i, j, before):
-        """(estimate, half width) of the cosines by the codes up to ``level``; ``before`` holds the sums of the earlier ones."""
-        err = q[4][i, level]
+            if i is None:
+                both = sum(np.bitwise_count(plane[:, level, k, w, None] & code[None, :, w]).astype(np.int32) for w in range(code.shape[1]))
+            else:
+                both = sum(np.bitwise_count(plane[i, level, k, w] & code[j, w]).astype(np.int32) for w in range(code.shape[1]))
+            count = count + (both << k)
+        of = (slice(None), None) if i is None else i
+        ones = self.ones[None, :, level] if i is None else self.ones[j, level]
+        return (2 * (step[:, level][of] * count + low[:, level][of] * ones) - total[:, level][of]) / np.sqrt(self.dim)
+
+    def _bounds(self, q, level, before, i=None, j=None):
+        """(estimate, rounding, half width) of the cosines by the codes up to ``level``; ``before`` holds the sums of the earlier ones."""
+        err = q[4][:, level][(slice(None), None) if i is None else i]
+        align, rest = (x[None, :, level] if i is None else x[j, level] for x in (self.align, self.rest))
         x = self._product(q, level, i, j)
-        est, slip = before[0] + self.align[j, level] * x, before[1] + self.align[j, level] * err
+        est, slip = before[0] + align * x, before[1] + align * err
         near = np.maximum(np.abs(x) - err, 0)
-        return est, slip, slip + np.sqrt(np.maximum(1 - near * near, 0)) * self.rest[j, level] + 1e-9
+        return est, slip, slip + np.sqrt(np.maximum(1 - near * near, 0)) * rest + 1e-9
 
     def scores(self, y, i, j):
+        """Integer inner products, in 32 bits where they surely fit."""
+        kind = np.int32 if self.small and np.abs(y).max(initial=0) < 2**15 and self.dim * int(np.abs(y).max(initial=0)) * self.most < 2**31 else np.int64
+        a, b = y.astype(kind), self.y.astype(kind)
         out = np.empty(len(i), dtype=np.int64)
-        for lo in range(0, len(i), 1 << 16):
-            part = slice(lo, lo + (1 << 16))
-            out[part] = np.einsum("nd,nd->n", y[i[part]].astype(np.int64), self.y[j[part]].astype(np.int64))
+        for lo in range(0, len(i), 1 << 14):
+            part = slice(lo, lo + (1 << 14))
+            out[part] = np.einsum("nd,nd->n", a[i[part]], b[j[part]])
         return out
 
     def first(self, y, planes_of, wanted, windows, k: int):
         """Yield (window number, query, row, score): the first ``k`` rows of each query in each window.
 
         ``wanted``: boolean [queries, rows]; ``windows``: pairs of arrays (least, greatest score) per query.
+        The leading codes meet as whole blocks, the others only for the pairs that are left.
         """
-        n = len(y)
-        i, j = np.arange(n)[:, None], np.arange(len(self.y))[None, :]
-        est, slip, half = self._bounds(planes_of, 0, i, j, (0.0, 0.0))
+        if not windows:
+            return
+        levels = self.codes.shape[1]
         unit = _units(y)[1][:, None] * self.norm[None, :]
-        guess, lo, hi = est * unit, (est - half) * unit, (est + half) * unit
-        for w, (least, most) in enumerate(windows):
-            ok = wanted & (hi >= least[:, None]) & (lo <= most[:, None])
-            bound = self._reached(y, np.where(ok & (guess <= most[:, None]), guess, -np.inf), least, most, k)
-            a, b = np.nonzero(ok & (hi >= np.maximum(least, bound)[:, None]))
-            e, s = est[a, b], slip[a, b]
-            for level in range(1, self.codes.shape[1]):
-                e, s, h = self._bounds(planes_of, level, a, b, (e, s))
-                u = unit[a, b]
-                left = ((e + h) * u >= np.maximum(least, bound)[a]) & ((e - h) * u <= most[a])
-                a, b, e, s = a[left], b[left], e[left], s[left]
-            score = self.scores(y, a, b)
-            inside = (score >= least[a]) & (score <= most[a]) & (score >= bound[a])
-            a, b, score = a[inside], b[inside], score[inside]
-            order = np.lexsort((self.gid[b], self.vec_id[b], -score, a))
-            a, b, score = a[order], b[order], score[order]
-            place = np.arange(len(a)) - np.searchsorted(a, a)
-            top = place < k
+        est, slip = 0.0, 0.0
+        for level in range(min(BLOCK_LEVELS, levels)):
+            est, slip, half = self._bounds(planes_of, level, (est, slip))
+        guess = np.where(wanted, est * unit, -np.inf)
+        bounds = [np.maximum(least, self._reached(y, guess, least, most, k)) for least, most in windows]
+        low = np.min(bounds, axis=0)
+        high = np.max([most for _, most in windows], axis=0)
+        a, b = np.nonzero(wanted & ((est + half) * unit >= low[:, None]) & ((est - half) * unit <= high[:, None]))
+        e, s = est[a, b], slip[a, b]
+        for level in range(BLOCK_LEVELS, levels):
+            e, s, h = self._bounds(planes_of, level, (e, s), a, b)
+            u = unit[a, b]
+            left = ((e + h) * u >= low[a]) & ((e - h) * u <= high[a])
+            a, b, e, s = a[left], b[left], e[left], s[left]
+        score = self.scores(y, a, b)
+        order = np.lexsort((self.gid[b], self.vec_id[b], -score, a))
+        a, b, score = a[order], b[order], score[order]
+        for w, (bound, (_, most)) in enumerate(zip(bounds, windows)):
+            inside = np.flatnonzero((score >= bound[a]) & (score <= most[a]))
+            own = a[inside]
+            top = inside[np.arange(len(own)) - np.searchsorted(own, own) < k]
             yield w, a[top], b[top], score[top]
 
     def _reached(self, y, guess, least, most, k):
         """For each query a score that its k-th best row reaches at least; the smallest integer where unknown."""
+        guess = np.where(guess <= most[:, None], guess, -np.inf)
         n, m = guess.shape
         out = np.full(n, _NEVER)
         if m < k:
