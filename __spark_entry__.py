@@ -226,8 +226,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_orders_enriched": _pipe_table("orders_enriched", "enriched_at"),
         "pipeline_customers360": _pipe_table("customers360", "processed_at"),
         "pipeline_products360": _pipe_table("products360", "processed_at"),
-        "customers360_range": lambda s, d: Medallion(s, d, ntile_ranges=29).customers360(),
-        "products360_range": lambda s, d: Medallion(s, d, ntile_ranges=29).products360(),
+        "customers360_range": lambda s, d: Medallion(s, d, ntile_method="range").customers360(),
+        "products360_range": lambda s, d: Medallion(s, d, ntile_method="range").products360(),
         "synth_changes": lambda s, d: _changes(s, d)[1],
         "rows_of_changed_keys": _rows_of_changed,
         "distinct_customer_count": _distinct_counts,

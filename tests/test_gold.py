@@ -103,3 +103,37 @@ def test_join_miss_keeps_line(spark):
     out = {r.order_id: r for r in orders_enriched(orders, cust, prod).collect()}
     assert out[1].customer_segment == "Consumer" and out[1].product_name == "p"
     assert out[2].customer_segment is None and out[2].product_name is None
+
+
+def test_product_metrics_read_the_lines_once_and_count_customers_exactly(spark, tmp_dir):
+    schema = ("order_id long, customer_id long, product_id long, product_name string, category_name string, product_price decimal(18,4), "
+              "is_notavailable boolean, customer_segment string, order_status string, quantity int, line_total decimal(18,4), "
+              "profit_per_order decimal(18,4), discount_rate decimal(18,4), profit_ratio decimal(18,4), order_date timestamp_ntz, "
+              "shipping_date timestamp_ntz, actual_shipping_days int, late_delivery_risk boolean")
+    day, one = dt.datetime(2020, 1, 1), Decimal("1.0000")
+    ids = [1, 1, 40_000, 10**12, -5, None, 40_001, 1]             # several ranges of ids, one below zero, one missing
+    rows = [(i, c, i % 2, "p", "c", one, None, "Consumer", "COMPLETE", 2, one * i, one, None, one, day, day + dt.timedelta(days=i), 3, i % 3 == 0)
+            for i, c in enumerate(ids * 5)]
+    path = tmp_dir("lines")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    df = product_metrics(spark.read.parquet(path))
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r.product_id: r for r in df.collect()}
+    for p in (0, 1):
+        own = [r for r in rows if r[2] == p]
+        assert got[p].unique_customers == len({r[1] for r in own} - {None}) and got[p].total_orders == len(own) == 20
+        assert got[p].total_revenue == float(sum(r[10] for r in own)) and got[p].units_sold == 40
+        assert got[p].avg_order_cycle_days == sum(r[0] for r in own) / 20 and got[p].avg_discount_rate is None
+        assert got[p].late_deliveries == sum(r[17] for r in own)
+
+
+def test_metrics_are_stored_once_for_all_ntiles(spark, monkeypatch):
+    from tidewater.operators import ranking
+    from tidewater.plans import customers
+    names = []
+    for module in (ranking, customers):
+        kept = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda s, df, name, *a, kept=kept: names.append(name) or kept(s, df, name, *a))
+    rows = [_line(i, i % 7, 1 + i % 28, "10.5000") for i in range(40)]
+    assert customers360(spark.createDataFrame(rows, ENRICHED)).count() == 7
+    assert names == ["customer-metrics"]

@@ -9,9 +9,9 @@ from tidewater.operators.scd2 import closed, current, scd2
 SCHEMA = "k int, seq long, t string, u string"
 
 
-def _run(spark, rows, bucket_size=3600):
+def _run(spark, rows, segments=None):
     df = spark.createDataFrame(rows, SCHEMA)
-    out = scd2(df, ["k"], "seq", ["t"], bucket_size=bucket_size)
+    out = scd2(df, ["k"], "seq", ["t"], segments=segments)
     return _sorted((r.k, r.t, r.u, r["__START_AT"], r["__END_AT"]) for r in out.collect())
 
 
@@ -78,7 +78,7 @@ def test_timestamp_sequence_and_views(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(1, t0 + dt.timedelta(hours=h), s) for h, s in [(0, "a"), (5, "a"), (30, "b"), (80, "a")]]
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, t string")
-    h = scd2(df, ["k"], "ts", ["t"], bucket_size=3600)
+    h = scd2(df, ["k"], "ts", ["t"], segments=3)
     assert h.count() == 3
     assert current(h).count() == 1 and closed(h).count() == 2
 
@@ -87,22 +87,22 @@ events = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 40), st.sampled_fr
                             st.sampled_from(["p", "q", "r", None])), min_size=1, max_size=40)
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(events)
 def test_matches_brute_force_any_split(spark, rows):
     expected = brute_scd2(rows)
-    # bucket sizes 1 and 7 force many pieces per key; 1000 keeps one piece per key
-    for bs in (1, 7, 1000):
-        assert _run(spark, rows, bucket_size=bs) == expected
+    # 40 segments cut every key with two rows, 6 only the larger ones, 1 none
+    for n in (40, 6, 1):
+        assert _run(spark, rows, segments=n) == expected
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(events, st.randoms(use_true_random=False))
 def test_order_and_batching_do_not_matter(spark, rows, rnd):
     shuffled = list(rows)
     rnd.shuffle(shuffled)
     cut = rnd.randint(0, len(rows))
-    assert _run(spark, shuffled[:cut] + shuffled[cut:], bucket_size=5) == brute_scd2(rows)
+    assert _run(spark, shuffled[:cut] + shuffled[cut:], segments=12) == brute_scd2(rows)
 
 
 def test_contiguous_intervals_on_events(spark):
@@ -118,3 +118,38 @@ def test_contiguous_intervals_on_events(spark):
         assert sum(e is None for _, e in iv) == 1
         for (s1, e1), (s2, _) in zip(iv, iv[1:]):
             assert e1 == s2 and s1 < e1
+
+
+def test_hot_key_is_cut_and_the_work_is_linear(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tidewater.operators.scd2 import hot_key_cuts
+    n = 200_000
+    base = spark.range(n).select(F.col("id").alias("seq"), (F.xxhash64("id") % 5).alias("t"), F.col("id").alias("u"))
+    one, many = base.withColumn("k", F.lit(1)), base.withColumn("k", F.col("seq") % 10_000)
+    cuts = hot_key_cuts(one, ["k"], "seq", 16)
+    assert len(cuts) == 1 and 12 <= len(next(iter(cuts.values()))) <= 16 and not hot_key_cuts(many, ["k"], "seq", 16)
+    seconds = {}
+    for name, df in (("warm", one), ("one", one), ("many", many)):
+        t0 = time.perf_counter()
+        scd2(df, ["k"], "seq", ["t"]).write.format("noop").mode("overwrite").save()
+        seconds[name] = time.perf_counter() - t0
+    assert seconds["one"] < 4 * seconds["many"] + 2          # a quadratic frame takes minutes here
+    h = scd2(one, ["k"], "seq", ["t"])
+    opened = [(a, b) for a, b in zip([None] + base.orderBy("seq").limit(5000).toPandas()["t"].tolist(), base.orderBy("seq").limit(5000).toPandas()["t"].tolist()) if a != b]
+    assert h.where("__START_AT < 5000").count() == len(opened)
+    assert current(h).count() == 1 and h.where("__END_AT is not null and __END_AT <= __START_AT").count() == 0
+
+
+def test_without_hot_keys_one_shuffle_and_one_sort(spark):
+    df = spark.range(4000).selectExpr("id % 1000 AS k", "id AS seq", "id % 3 AS t")
+    plan = scd2(df, ["k"], "seq", ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_hot_key_with_nulls_ties_and_versions_over_many_segments(spark):
+    rows = [(1, i, None if 100 < i < 700 else "A" if i < 900 else "B", str(i)) for i in range(1000)] + [(1, 500, "Z", "tie")]
+    rows += [(k, i, "x", "y") for k in range(2, 40) for i in range(3)]
+    assert _run(spark, rows, segments=16) == brute_scd2(rows)

@@ -1,16 +1,20 @@
 """Exact ``ntile`` over a global order, without a single-partition window.
 
 ``ntile(k) OVER (ORDER BY ...)`` with no partition moves every row into one
-task.  Here the rows are range-partitioned and sorted by the whole sort tuple
-(a hot value is split by the tie-break columns), each row is numbered within
-its range by its position there, and the ranges' row counts - one row per
-range, whose number is the session's shuffle partitions - turn that into the
-0-based global position ``g``.  With n rows, k buckets, q = n div k, r = n mod k:
+task.  Two distributed forms, both equal to the built-in one for a total order:
+
+``cuts`` (the default): of the n rows only the k - 1 sort tuples at the buckets'
+last positions are needed, and a row's bucket is one more than the number of
+those tuples below its own.  They are selected exactly: a sample gives 1,023
+pivots, one pass counts the rows between pivots for all orders together, and the
+few intervals that hold a wanted position are searched again until they are small
+enough for one sort.  No row is shuffled and all columns are added in one pass.
+
+``range``: the rows are range-partitioned and sorted by the whole sort tuple,
+numbered by their place in their range, and the ranges' counts (one row per
+range, as many as the session's shuffle partitions) give the 0-based global
+position ``g``.  With n rows, k buckets, q = n div k, r = n mod k:
 ``g < r(q+1) ? g div (q+1) + 1 : r + (g - r(q+1)) div q + 1``.
-
-The same plan serves every size.  The sort order must be total (append id
-columns) for the result to be deterministic; with a total order it equals the
-built-in ``ntile``.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegralType, StringType,
+                               TimestampNTZType, TimestampType)
 
 from ..sinks.tables import materialize
 
@@ -81,13 +87,136 @@ def range_ntile(df: DataFrame, k: int, order: list[SortKey], name: str, ranges:
     return j.withColumn(name, bucket.cast("int")).drop("_rng", "_at", "_off", "_n")
 
 
-def ntile_columns(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], method: str = "range",
-                  ranges: int | None = None) -> DataFrame:
+#: Rows that one task may sort to find a tuple; pivots of a pass (one less than a power of two) and sampled rows for each.
+SORTED_AT_ONCE, _STEPS, _SAMPLED = 100_000, 10, 32
+
+
+def _reversed(c: Column, kind: DataType) -> list[Column]:
+    """Columns whose ascending order is the descending order of ``c``."""
+    if isinstance(kind, (IntegralType, BooleanType)):
+        return [~c if isinstance(kind, BooleanType) else F.bitwise_not(c)]
+    if isinstance(kind, DecimalType):
+        return [-c]
+    if isinstance(kind, (FloatType, DoubleType)):
+        return [~F.isnan(c), -c]                       # NaN is the greatest value
+    if isinstance(kind, StringType):                   # '~' is above every digit, so a longer text comes first
+        return [F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))]
+    if isinstance(kind, DateType):
+        return [-F.datediff(c, F.lit("1970-01-01").cast("date"))]
+    if isinstance(kind, TimestampType):
+        return [-F.unix_micros(c)]
+    if isinstance(kind, TimestampNTZType):
+        return [*_reversed(c.cast("date"), DateType()), *_reversed(F.date_format(c, "HH:mm:ss.SSSSSS"), StringType())]
+    raise TypeError(f"no descending order for {kind.simpleString()}")
+
+
+def sort_tuple(df: DataFrame, order: list[SortKey]) -> Column:
+    """A struct whose natural order (ascending, nulls first) is ``order``."""
+    out: list[Column] = []
+    for s in order:
+        c, kind = F.col(s.column), df.schema[s.column].dataType
+        if not s.nf:
+            out.append(c.isNull())
+        elif not s.ascending:
+            out.append(c.isNotNull())
+        out += [c] if s.ascending else _reversed(c, kind)
+    return F.struct(*[x.alias(f"c{i}") for i, x in enumerate(out)])
+
+
+def _bucket_ends(n: int, k: int) -> list[int]:
+    """1-based position of the last row of each bucket but the last one."""
+    return sorted({min(n, i * (n // k) + min(i, n % k)) for i in range(1, k)} - {0})
+
+
+def _sorted_list(rows: DataFrame, name: str) -> DataFrame:
+    return rows.agg(F.sort_array(F.collect_list("e")).alias(name))
+
+
+def _small(rows: DataFrame, wanted: dict[int, list[int]]) -> DataFrame:
+    """Tuples (e) at the wanted places of each group (b, e); a group is sorted by one task."""
+    place = F.row_number().over(Window.partitionBy("b").orderBy("e"))
+    hit = F.lit(False)
+    for b, places in wanted.items():
+        hit = hit | ((F.col("b") == b) & F.col("at").isin(places))
+    return rows.withColumn("at", place).where(hit).select("e")
+
+
+def select_tuples(tuples: DataFrame, n: int, positions: dict[str, list[int]], name: str = "cuts") -> dict[str, DataFrame]:
+    """For each struct column of ``tuples`` the tuples at its 1-based ``positions``, as a table of one row with one sorted array.
+
+    The rows of a column must differ.  The number of passes is about log(n / SORTED_AT_ONCE) / log(1,024).
+    """
+    if n <= SORTED_AT_ONCE:
+        return {c: _sorted_list(_small(tuples.select(F.lit(0).alias("b"), F.col(c).alias("e")), {0: at}), c) for c, at in positions.items()}
+    spark, size = tuples.sparkSession, 2 ** _STEPS
+    drawn = materialize(spark, tuples.sample(min(1.0, size * _SAMPLED / n), seed=7), f"{name}-sample")
+    located = tuples
+    for c in positions:
+        every = F.sort_array(F.collect_list(c))
+        # always size - 1 pivots, evenly spread over the sorted sample
+        pivots = drawn.agg(F.transform(F.sequence(F.lit(1), F.lit(size - 1)), lambda i: F.get(every, F.floor(i * F.size(every) / size).cast("int"))).alias(f"p_{c}"))
+        located = located.crossJoin(F.broadcast(pivots)).withColumn(f"b_{c}", F.lit(0))              # one row
+        for step in range(_STEPS - 1, -1, -1):
+            at = F.col(f"b_{c}") + 2 ** step
+            located = located.withColumn(f"b_{c}", F.when(F.col(c) > F.get(F.col(f"p_{c}"), at - 1), at).otherwise(F.col(f"b_{c}")))
+        located = located.drop(f"p_{c}")
+    found = (located.select(F.posexplode(F.array(*[f"b_{c}" for c in positions])).alias("s", "b")).groupBy("s", "b").count()
+             .collect())                                                                              # at most 1,024 rows a column
+    out = {}
+    for s, (c, places) in enumerate(positions.items()):
+        counts = {r["b"]: r["count"] for r in found if r["s"] == s}
+        wanted: dict[int, list[int]] = {}
+        before, todo = 0, list(places)
+        for b in sorted(counts):
+            while todo and todo[0] <= before + counts[b]:
+                wanted.setdefault(b, []).append(todo.pop(0) - before)
+            before += counts[b]
+        near = located.where(F.col(f"b_{c}").isin(list(wanted))).select(F.col(f"b_{c}").alias("b"), F.col(c).alias("e"))
+        small = {b: p for b, p in wanted.items() if counts[b] <= SORTED_AT_ONCE}
+        parts = [_small(near.where(F.col("b").isin(list(small))), small)] if small else []
+        for b in wanted.keys() - small.keys():
+            inner = materialize(spark, near.where(F.col("b") == b).select("e"), f"{name}-part")
+            parts.append(select_tuples(inner, counts[b], {"e": wanted[b]}, name)["e"].select(F.explode("e").alias("e")))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        out[c] = _sorted_list(rows, c)
+    return out
+
+
+def cut_ntiles(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], stored: bool = False) -> DataFrame:
+    """Add an ntile column for each (name, k, order).
+
+    ``stored``: ``df`` is cheap to read several times, gives the same rows each time, and no two rows agree in a
+    whole sort tuple.  Otherwise it is stored once and the place of a row there ends every sort tuple.
+    """
+    if not stored:
+        df = materialize(df.sparkSession, df.withColumn("_row", F.monotonically_increasing_id()), "ntile")
+        specs = [(name, k, [*order, asc("_row")]) for name, k, order in specs]
+    n = df.count()
+    tuples = df.select(*[sort_tuple(df, order).alias(f"e{i}") for i, (_, _, order) in enumerate(specs)])
+    ends = {f"e{i}": _bucket_ends(n, k) for i, (_, k, _) in enumerate(specs)}
+    cuts = select_tuples(tuples, n, {c: p for c, p in ends.items() if p})
+    out = df
+    for i, (name, _, order) in enumerate(specs):
+        if f"e{i}" not in cuts:
+            out = out.withColumn(name, F.lit(1).cast("int"))
+            continue
+        own = sort_tuple(df, order)
+        below = F.size(F.filter(f"_cuts{i}", lambda x: x < own))                                      # at most k - 1 cuts
+        out = out.crossJoin(F.broadcast(cuts[f"e{i}"].withColumnRenamed(f"e{i}", f"_cuts{i}"))).withColumn(name, (below + 1).cast("int"))
+    return out.drop("_row", *[f"_cuts{i}" for i in range(len(specs))])
+
+
+def ntile_columns(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], method: str = "cuts",
+                  ranges: int | None = None, stored: bool = False) -> DataFrame:
     """Add one ntile column per (name, k, order) spec.
 
-    ``method``: ``range`` (distributed) or ``builtin`` (the single-partition
-    window, for comparison).
+    ``method``: ``cuts`` (selected boundaries, see :func:`cut_ntiles`), ``range`` (distributed sort) or ``builtin``
+    (the single-partition window, for comparison).
     """
+    if method == "cuts":
+        return cut_ntiles(df, specs, stored)
     for name, k, order in specs:
         df = builtin_ntile(df, k, order, name) if method == "builtin" else range_ntile(df, k, order, name, ranges)
     return df

@@ -12,52 +12,119 @@ their arrival order or on how they were batched):
    key's next version (null for the open version).
 4. Untracked columns take the value of the last row inside the version.
 
-Distribution: the classic "lag over the key" needs every row of a key in one
-task, which breaks when one key holds a large share of the rows.  Here rows
-are cut into (key, time-bucket) pieces; each piece is ordered locally, and one
-small summary (one row per piece, ordered per key) carries the previous
-piece's last tracked value and the neighbouring version starts across piece
-borders.  The big data is shuffled once by (key, bucket) and once, map-side
-combined, by (key, version); the summary is a side table joined back on
-(key, bucket), which keeps the pieces' partitioning and order.
+Distribution: a segmented scan.  A key's rows form one segment, and a key with
+more than its share of the rows is cut into several along the sequence, at
+quantiles of its own sequence values.  The input is read and shuffled once, by
+(key, segment), sorted once, and turned into versions by three stacked window
+operators with frames that only move forward, so the work is linear in a segment's
+rows.  Which keys are cut is found beforehand by a frequent-items sketch over
+the keys alone; only the work depends on it, never the result.
+
+Without such keys that is all.  With them the segments' versions are stored, and
+what crosses a segment's border - its first and its last version, at most two rows a
+segment, and there are about as many segments as shuffle partitions - is merged in
+one small table: versions that continue over borders become one, and the last version
+of a segment ends where the key's next one starts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..schemas import SCD_END, SCD_START
+from ..sinks.tables import materialize
 
-DEFAULT_BUCKET_SECONDS = 3600
+#: Keys followed by the frequent-items sketch: a key with 1/1000 of the rows is surely found.
+_FOLLOWED = 4096
 
 
-def _seq_bucket(df: DataFrame, seq: str, bucket_size: float) -> Column:
-    """Monotone, pure function of the sequence value -> piece number."""
-    dtype = df.schema[seq].dataType
-    c = F.col(seq)
-    if isinstance(dtype, TimestampNTZType):
-        # wall-clock seconds; independent of the session time zone
-        secs = (F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86400
-                + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c)))
-    elif isinstance(dtype, TimestampType):
-        secs = F.unix_seconds(c)
-    elif isinstance(dtype, DateType):
-        secs = F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long") * 86400
-    else:
-        secs = c
-    return F.floor(secs / F.lit(float(bucket_size))).cast("long")
+def _ticks(df: DataFrame, seq: str) -> Column | None:
+    """A number that grows with the sequence; None if the type has none."""
+    kind, c = df.schema[seq].dataType, F.col(seq)
+    if isinstance(kind, TimestampNTZType):             # wall-clock seconds, independent of the session time zone
+        days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("double")
+        return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
+    return c.cast("double") if isinstance(kind, NumericType) else None
+
+
+def hot_key_cuts(changes: DataFrame, keys: list[str], seq: str, segments: int) -> dict[int, list[float]]:
+    """Hash of each key with over 1/``segments`` of the rows -> where to cut its sequence (ticks, ascending).
+
+    Two reads of the key (and, for those keys, the sequence) alone; at most ``segments`` hashes and as many cuts
+    reach the driver.
+    """
+    ticks = _ticks(changes, seq)
+    if ticks is None:
+        return {}
+    rows = changes.select(F.xxhash64(*keys).alias("_h"), ticks.alias("_x"))
+    n, found = rows.agg(F.count(F.lit(1)), F.expr(f"approx_top_k(_h, {min(segments, _FOLLOWED)}, {_FOLLOWED})")).collect()[0]
+    hot = [r["item"] for r in found or [] if r["count"] > n / segments and r["count"] > 1]
+    if not hot:
+        return {}
+    steps = [i / segments for i in range(1, segments)]
+    got = rows.where(F.col("_h").isin(hot)).groupBy("_h").agg(
+        F.count(F.lit(1)).alias("c"), F.percentile_approx("_x", steps, 10 * segments).alias("q")).collect()
+    out = {}
+    for r in got:                                      # about one cut for every n / segments rows of the key
+        pieces = max(2, -(-r["c"] * segments // n))
+        out[r["_h"]] = sorted({r["q"][max(0, round(i * segments / pieces) - 1)] for i in range(1, pieces)})
+    return out
+
+
+def _segment(changes: DataFrame, keys: list[str], seq: str, cuts: dict[int, list[float]]) -> DataFrame:
+    """``changes`` with ``_seg``: number of the key's cuts at or before the row; 0 for keys without cuts."""
+    table = changes.sparkSession.createDataFrame([(h, c) for h, c in cuts.items()], "_h long, _cuts array<double>")
+    at = F.size(F.filter("_cuts", lambda c: c <= _ticks(changes, seq)))
+    return (changes.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(table), "_h", "left")     # at most one row a hot key
+            .withColumn("_seg", F.coalesce(F.when(F.col("_cuts").isNotNull(), at), F.lit(0))).drop("_h", "_cuts"))
+
+
+def _local_versions(rows: DataFrame, parts: list[str], seq: str, tracked: list[str], tiebreak: list[str]) -> DataFrame:
+    """Versions of each segment (rows with equal ``parts``) as if it stood alone: the last row of each, with start, end
+    and whether it is the segment's first or last.  The windows share one shuffle and one sort."""
+    by_tie = Window.partitionBy(*parts).orderBy(seq, *tiebreak)
+    by_seq = Window.partitionBy(*parts).orderBy(seq)
+    one = rows.withColumn("_next", F.lead(seq).over(by_tie)).where(~F.col("_next").eqNullSafe(F.col(seq))).drop("_next")
+    t = F.struct(*tracked)
+    opened = one.withColumn("_before", F.lag(seq).over(by_seq)).withColumn(
+        "_open", F.col("_before").isNull() | ~t.eqNullSafe(F.lag(t).over(by_seq)))
+    start = F.last(F.when(F.col("_open"), F.col(seq)), ignorenulls=True).over(by_seq.rowsBetween(Window.unboundedPreceding, 0))
+    head = F.last(F.when(F.col("_before").isNull(), F.col(seq)), ignorenulls=True).over(by_seq.rowsBetween(Window.unboundedPreceding, 0))
+    full = (opened.withColumn("_next_open", F.lead("_open").over(by_seq)).withColumn(SCD_END, F.lead(seq).over(by_seq))
+            .withColumn(SCD_START, start).withColumn("_head", head))
+    return (full.where(F.col("_next_open").isNull() | F.col("_next_open"))
+            .withColumn("_first", F.col(SCD_START) == F.col("_head")).withColumn("_last", F.col("_next_open").isNull())
+            .drop("_before", "_open", "_next_open", "_head"))
+
+
+def _merge_borders(edges: DataFrame, keys: list[str], tracked: list[str], payload: list[str]) -> DataFrame:
+    """First and last versions of the segments of cut keys, merged across borders."""
+    order = Window.partitionBy(*keys).orderBy("_seg", SCD_START)
+    t = F.struct(*tracked)
+    goes_on = F.col("_first") & F.coalesce(F.lag("_last").over(order), F.lit(False)) & t.eqNullSafe(F.lag(t).over(order))
+    grouped = edges.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn(
+        "_group", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    at = F.struct("_seg", SCD_START)
+    merged = grouped.groupBy(*keys, "_group").agg(
+        F.min(SCD_START).alias("_start"), F.max_by(F.struct(*payload), at).alias("_row"), F.max_by(SCD_END, at).alias("_own_end"))
+    by_group = Window.partitionBy(*keys).orderBy("_group")
+    return merged.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload], F.col("_start").alias(SCD_START),
+                         F.coalesce("_own_end", F.lead("_start").over(by_group)).alias(SCD_END))
 
 
 def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
          track_history: list[str] | None = None, tiebreak: list[str] | None = None,
-         bucket_size: float = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+         segments: int | None = None) -> DataFrame:
     """History table: keys, other columns, ``__START_AT``, ``__END_AT``.
 
-    ``bucket_size`` is in seconds for time sequences and in sequence units for
-    numeric ones; it only shapes the work split, never the result.
-    Rows with a null key or a null sequence are ignored.
+    ``segments``: a key with over 1 / ``segments`` of the rows is cut (default: the session's shuffle partitions, at least
+    16); it shapes the work, never the result.  Rows with a null key or a null sequence are ignored.
     """
     seq = sequence_by
     payload = [c for c in changes.columns if c not in keys and c != seq]
@@ -66,60 +133,18 @@ def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
     not_null = F.col(seq).isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    src = changes.filter(not_null).withColumn("_b", _seq_bucket(changes, seq, bucket_size))
-
-    # 1. one row per (key, sequence).  Shuffle once by (key, bucket); the
-    #    grouping and the windows below reuse that partitioning.
-    d = (src.repartition(*keys, "_b")
-            .groupBy(*keys, "_b", seq)
-            .agg(F.max_by(F.struct(*payload), F.struct(*tiebreak)).alias("_row"))
-            .select(*keys, "_b", seq, "_row.*"))
-
-    # 2. inside each piece (one sort, two stacked window operators): changes
-    #    against the previous row, latest change so far, next change after.
-    wb = Window.partitionBy(*keys, "_b").orderBy(seq)
-    d = (d.withColumn("_t", F.struct(*tracked))
-          .withColumn("_rn", F.row_number().over(wb))
-          .withColumn("_chg", (F.col("_rn") > 1) & ~F.col("_t").eqNullSafe(F.lag("_t").over(wb))))
-    chg_seq = F.when(F.col("_chg"), F.col(seq))
-    d = (d.withColumn("_vs_loc", F.last(chg_seq, ignorenulls=True).over(
-                          wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("_nx_loc", F.first(chg_seq, ignorenulls=True).over(
-                          wb.rowsBetween(1, Window.unboundedFollowing))))
-
-    # 3. one summary row per piece, ordered by piece within the key: does the
-    #    piece's first row open a version (tracked value differs from the end
-    #    of the previous piece), the latest opening before the piece and the
-    #    first opening after it.
-    wk = Window.partitionBy(*keys).orderBy("_b")
-    s = (d.groupBy(*keys, "_b")
-          .agg(F.min_by("_t", seq).alias("_first_t"), F.max_by("_t", seq).alias("_last_t"),
-               F.min(seq).alias("_first_seq"), F.min(chg_seq).alias("_first_chg"),
-               F.max(chg_seq).alias("_last_chg"))
-          .withColumn("_carry_t", F.lag("_last_t").over(wk)))
-    head_open = F.col("_carry_t").isNull() | ~F.col("_first_t").eqNullSafe(F.col("_carry_t"))
-    s = (s.withColumn("_head_open", head_open)
-          .withColumn("_p_first", F.when(F.col("_head_open"), F.col("_first_seq")).otherwise(F.col("_first_chg")))
-          .withColumn("_p_last", F.coalesce(F.col("_last_chg"),
-                                            F.when(F.col("_head_open"), F.col("_first_seq"))))
-          .select(*keys, "_b", "_head_open", "_first_seq",
-                  F.last("_p_last", ignorenulls=True).over(
-                      wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_open"),
-                  F.first("_p_first", ignorenulls=True).over(
-                      wk.rowsBetween(1, Window.unboundedFollowing)).alias("_next_open")))
-
-    opens = F.when(F.col("_rn") == 1, F.col("_head_open")).otherwise(F.col("_chg"))
-    d = (d.join(s, [*keys, "_b"])
-          .withColumn("_vstart", F.coalesce("_vs_loc", F.when(F.col("_head_open"), F.col("_first_seq")),
-                                            "_carry_open"))
-          .withColumn("_vend", F.when(opens, F.coalesce("_nx_loc", "_next_open"))))
-
-    # 4. one row per version; values of its last row (map-side combined)
-    versions = (d.groupBy(*keys, "_vstart")
-                 .agg(F.max_by(F.struct(*payload), F.col(seq)).alias("_row"),
-                      F.max("_vend").alias("_vend")))
-    return versions.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload],
-                           F.col("_vstart").alias(SCD_START), F.col("_vend").alias(SCD_END))
+    src = changes.where(not_null)
+    n = segments or max(16, int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = hot_key_cuts(src, keys, seq, n)
+    columns = [*keys, *payload, SCD_START, SCD_END]
+    if not cuts:
+        return _local_versions(src, keys, seq, tracked, tiebreak).select(*columns)
+    local = _local_versions(_segment(src, keys, seq, cuts), [*keys, "_seg"], seq, tracked, tiebreak)
+    hot = F.xxhash64(*keys).isin(list(cuts))
+    stored = materialize(changes.sparkSession, local.withColumn("_edge", hot & (F.col("_first") | F.col("_last")))
+                         .select(*columns, "_seg", "_first", "_last", "_edge"), "scd2-segments")
+    merged = _merge_borders(stored.where("_edge"), keys, tracked, payload)         # at most two rows a segment
+    return stored.where("not _edge").select(*columns).unionByName(merged.select(*columns))
 
 
 def current(history: DataFrame) -> DataFrame:

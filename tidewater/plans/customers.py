@@ -70,14 +70,14 @@ def _tiebreak():
     return [asc(c) for c in CUSTOMER_KEYS]
 
 
-def customer_quintiles(enriched: DataFrame, ntile_method: str = "range",
+def customer_quintiles(enriched: DataFrame, ntile_method: str = "cuts",
                        ranges: int | None = None) -> DataFrame:
     """Metrics + recency / frequency / monetary quintiles (ntile(5) over all customers)."""
     return ntile_columns(customer_metrics(enriched), [
         ("recency_quintile", 5, [asc("days_since_last_order")] + _tiebreak()),
         ("frequency_quintile", 5, [desc("total_orders")] + _tiebreak()),
         ("monetary_quintile", 5, [desc("total_revenue")] + _tiebreak()),
-    ], method=ntile_method, ranges=ranges)
+    ], method=ntile_method, ranges=ranges, stored=True)          # customer_metrics reads a stored table; its keys are unique
 
 
 def rfm_scores(quintiles: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def rfm_scores(quintiles: DataFrame) -> DataFrame:
                                                        F.col("monetary_score").cast("string"))))
 
 
-def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "range",
+def customers360(enriched: DataFrame, audit: bool = False, ntile_method: str = "cuts",
                  ranges: int | None = None) -> DataFrame:
     scored = rfm_scores(customer_quintiles(enriched, ntile_method, ranges))
     orders = F.col("total_orders")

@@ -43,7 +43,7 @@ def product_history(bronze: DataFrame) -> DataFrame:
 
 class Medallion:
     def __init__(self, spark: SparkSession, sf_dir: str, materialize_bronze: bool = True,
-                 ntile_method: str = "range", ntile_ranges: int | None = None):
+                 ntile_method: str = "cuts", ntile_ranges: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize_bronze = materialize_bronze
