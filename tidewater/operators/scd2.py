@@ -118,13 +118,17 @@ def _merge_borders(edges: DataFrame, keys: list[str], tracked: list[str], payloa
                          F.coalesce("_own_end", F.lead("_start").over(by_group)).alias(SCD_END))
 
 
+def default_segments(changes: DataFrame) -> int:
+    return max(16, int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
          track_history: list[str] | None = None, tiebreak: list[str] | None = None,
-         segments: int | None = None) -> DataFrame:
+         segments: int | None = None, cuts: dict[int, list[float]] | None = None) -> DataFrame:
     """History table: keys, other columns, ``__START_AT``, ``__END_AT``.
 
     ``segments``: a key with over 1 / ``segments`` of the rows is cut (default: the session's shuffle partitions, at least
-    16); it shapes the work, never the result.  Rows with a null key or a null sequence are ignored.
+    16); ``cuts``: what ``hot_key_cuts`` gives, where it is known.  Both shape the work, never the result.  Rows with a null key or a null sequence are ignored.
     """
     seq = sequence_by
     payload = [c for c in changes.columns if c not in keys and c != seq]
@@ -134,8 +138,8 @@ def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     src = changes.where(not_null)
-    n = segments or max(16, int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts = hot_key_cuts(src, keys, seq, n)
+    if cuts is None:
+        cuts = hot_key_cuts(src, keys, seq, segments or default_segments(changes))
     columns = [*keys, *payload, SCD_START, SCD_END]
     if not cuts:
         return _local_versions(src, keys, seq, tracked, tiebreak).select(*columns)

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # the JVM never compiles methods above 8,000 bytes of code; wider generated ones (53 typed landing columns) run in split form
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

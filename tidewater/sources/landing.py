@@ -39,7 +39,7 @@ def _typed(text: DataFrame, *extra) -> DataFrame:
             cols.append(c.alias(normalize_name(name)))
         else:
             value = c.try_cast(kind)
-            bad = bad | (c.isNotNull() & (F.trim(c) != "") & value.isNull())
+            bad = bad | (value.isNull() & c.isNotNull() & (F.trim(c) != ""))       # the text is looked at only where the cast fails
             cols.append(value.alias(normalize_name(name)))
     line = F.coalesce(F.col(CORRUPT_COL), F.to_csv(F.struct(*[F.col(f"`{n}`") for n, _ in RAW_COLUMNS])))
     return text.select(*cols, F.when(bad, line).alias(CORRUPT_COL), *extra)
@@ -56,13 +56,21 @@ def read_landing_untyped(spark: SparkSession, path: str, encoding: str | None =
 
 
 def stream_landing(spark: SparkSession, path: str, encoding: str | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None,
+                   archive_dir: str | None = None) -> DataFrame:
     """Incremental file discovery over the landing folder.
 
+    A micro-batch takes at most so many files, or so many bytes of them.  With ``archive_dir`` files are moved there
+    after their batch; the folder must not lie below the landing folder.
+
     Adds ``ingested_at`` = the file's modification time (UTC wall clock):
     distinct per file inside one micro-batch, so it orders changes by arrival.
     """
     r = _csv_options(spark.readStream, encoding, True).schema(raw_text_schema())
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return _typed(r.csv(path), utc_wall_clock(F.col("_metadata.file_modification_time")).alias("ingested_at"))
