@@ -8,7 +8,8 @@ character counts c, and a step changes only the counts of the character that
 leaves and the one that enters.  Candidates that are UUIDs or paths as a
 whole are suppressed; of others the windows that overlap a match of the
 allow-list are, and each piece between the matches is scored by itself.  Base
-spans are never suppressed.  Only DataFrame operations.
+spans are never suppressed.  A piece is scored in chunks of bounded length, so the
+work is linear in its length and spread over tasks.  Only DataFrame operations.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 MIN_VALUE = 6
 
-WINDOW = 20
+WINDOW, CHUNK = 20, 500
 _KEY = "[A-Za-z0-9+/_=-]"
 CANDIDATE = rf"(?<!{_KEY})(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z]){_KEY}{{{WINDOW},}}+"
 #: (class pattern, least bits per character); the first class that matches counts.  A bound is the 0.1 % quantile of random
@@ -59,36 +60,40 @@ def _found(text: Column, pattern: str, no: int, value_group: int | None = None)
     return F.when(text.rlike(pattern), rows).otherwise(none)
 
 
-def _f(count: Column) -> Column:
-    """c log2 c, 0 at 0."""
-    return F.when(count > 0, count * F.log2(count)).otherwise(F.lit(0.0))
+def _f(count: int) -> float:
+    return count * math.log2(count) if count else 0.0
 
 
 def _count(within: Column, char: Column) -> Column:
-    return (F.length(within) - F.length(F.replace(within, char, F.lit("")))).cast("double")
+    return F.length(within) - F.length(F.replace(within, char, F.lit("")))
 
 
 def entropy_range(value: Column, least: Column, window: int = WINDOW) -> Column:
-    """struct(first, last): starts of the first and last windows of at least ``least`` bits; first is null if none."""
+    """struct(first, last): starts of the first and last windows of at least ``least`` bits; first is null if none.
+
+    A step to the next window takes one character out and one in: with c others of its kind in the 19 that both windows
+    share, a character adds f(c + 1) - f(c) to the sum of f(c) = c log2 c.  These steps are listed and added up.
+    """
     start = F.substring(value, 1, window)
-    total = F.aggregate(F.array_distinct(F.split(start, "")), F.lit(0.0), lambda s, c: s + F.when(c != "", _f(_count(start, c))).otherwise(0.0))
-    bits = lambda s: F.lit(math.log2(window)) - s / window
+    table = F.array(*[F.lit(_f(c)) for c in range(window + 1)])
+    gain = F.array(*[F.lit(_f(c + 1) - _f(c)) for c in range(window)])
+    total = F.aggregate(F.array_distinct(F.split(start, "")), F.lit(0.0),
+                        lambda s, c: s + F.when(c != "", F.get(table, _count(start, c))).otherwise(0.0))
+    steps = F.when(F.length(value) > window, F.sequence(F.lit(1), F.length(value) - window)).otherwise(F.array().cast("array<int>"))
+    both = F.transform(steps, lambda at: F.substring(value, at, F.lit(window + 1)))       # two windows that follow each other
+
+    def change(s):
+        shared = F.substring(s, 2, window - 1)
+        return F.get(gain, _count(shared, F.substring(s, window + 1, 1))) - F.get(gain, _count(shared, F.substring(s, 1, 1)))
 
     def state(s, at, first, last):
-        high = bits(s) >= least - 1e-9
-        return F.struct(s.alias("s"), F.when(first.isNull() & high, at).otherwise(first).cast("int").alias("first"),
+        high = F.lit(math.log2(window)) - s / window >= least - 1e-9
+        return F.struct(s.alias("s"), at.cast("int").alias("at"), F.when(first.isNull() & high, at).otherwise(first).cast("int").alias("first"),
                         F.when(high, at).otherwise(last).cast("int").alias("last"))
 
     none = F.lit(None).cast("int")
-    steps = F.when(F.length(value) > window, F.sequence(F.lit(1), F.length(value) - window)).otherwise(F.array().cast("array<int>"))
-
-    def slide(acc, at):
-        rest = F.substring(value, at + 1, F.lit(window - 1))           # what both windows share
-        out, come = F.substring(value, at, F.lit(1)), F.substring(value, at + window, F.lit(1))
-        n_out, n_come = _count(rest, out), _count(rest, come)
-        return state(acc["s"] - _f(n_out + 1) + _f(n_out) - _f(n_come) + _f(n_come + 1), at, acc["first"], acc["last"])
-
-    return F.aggregate(steps, state(total, F.lit(0), none, none), slide)
+    return F.aggregate(F.transform(both, change), state(total, F.lit(0), none, none),
+                       lambda acc, d: state(acc["s"] + d, acc["at"] + 1, acc["first"], acc["last"]))
 
 
 def _least(value: Column) -> Column:
@@ -120,6 +125,15 @@ def pieces(value: Column, window: int = WINDOW) -> Column:
     return F.when(value.rlike(ALLOW_PART), F.aggregate(found, none, cut)["out"]).otherwise(whole)
 
 
+def chunks(value: Column, window: int = WINDOW) -> Column:
+    """Consecutive stretches of CHUNK characters, each with the first window - 1 of the next one, so every window lies whole in
+    the stretch in which it starts; the string is walked once."""
+    cut = F.regexp_extract_all(value, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    after = F.concat(F.slice(cut, F.lit(2), F.size(cut)), F.array(F.lit("")))
+    joined = F.zip_with(cut, after, lambda a, b: F.concat(a, F.substring(b, 1, window - 1)))
+    return F.filter(joined, lambda c: F.length(c) >= window)
+
+
 def spans(found: DataFrame) -> DataFrame:
     """(uid, kind, start, end, value) of the spans that count, from rows (uid, hits)."""
     hit = found.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h")).select("uid", "h.*")
@@ -131,13 +145,19 @@ def spans(found: DataFrame) -> DataFrame:
     allowed = F.lit(False)
     for pattern in ALLOW:
         allowed = allowed | value.rlike(pattern)
-    high = (placed.where((F.col("kind") == 3) & ~allowed).withColumn("part", F.explode(pieces(value)))
-            .withColumn("start", F.col("start") + F.col("part.at"))
-            .withColumn("value", value.substr(F.col("part.at") + 1, F.col("part.len")))
-            .withColumn("range", entropy_range(value, _least(value))).where("range.first is not null")
-            .withColumn("end", F.col("start") + F.col("range.last") + WINDOW)
-            .withColumn("start", F.col("start") + F.col("range.first")))
+    part = (placed.where((F.col("kind") == 3) & ~allowed).select("uid", "start", "value", F.explode(pieces(value)).alias("part"))
+            .select("uid", (F.col("start") + F.col("part.at")).alias("start"), value.substr(F.col("part.at") + 1, F.col("part.len")).alias("value"))
+            .withColumn("least", _least(value))                # below the explode: once a piece
+            .select("uid", "start", "least", F.posexplode(chunks(value)).alias("no", "chunk")))
+    # few bytes, much work: dealt out evenly by a number of partitions that is not merged again
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = part.repartition(tasks, "uid", "start", "no").withColumn("range", entropy_range(F.col("chunk"), F.col("least")))
+    at = F.col("no").cast("long") * CHUNK
+    high = ranges.where("range.first is not null").groupBy("uid", "start").agg(
+        F.min(at + F.col("range.first")).alias("first"), F.max(at + F.col("range.last")).alias("last"))
     cols = ["uid", "kind", "start", "end", "value"]
+    high = high.select("uid", F.lit(3).alias("kind"), (F.col("start") + F.col("first")).alias("start"),
+                       (F.col("start") + F.col("last") + WINDOW).alias("end"), F.lit(None).cast("string").alias("value"))
     return base.select(*cols).unionByName(high.select(*cols))
 
 
