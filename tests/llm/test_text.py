@@ -114,12 +114,30 @@ def test_recall_of_random_keys(spark, alphabet):
     assert found >= 0.99 * len(keys)
 
 
+def test_long_candidates_take_linear_time(spark):
+    import base64
+    import time
+    r = random.Random(8)
+    run = base64.b64encode(r.randbytes(750_000)).decode()[:1_000_000].rstrip("=")
+    rows = [(1, f"image {run} end", None, None, None), (2, "x" * 30 + "9" + "é" * 5, None, None, None)]
+    S.secrets(frame(spark, rows[1:])).collect()
+    t0 = time.perf_counter()
+    got = {x.doc_id: x for x in S.secrets(frame(spark, rows)).collect()}
+    assert time.perf_counter() - t0 < 40                   # a square of the length takes hours
+    assert got[1].n_entropy >= 1 and got[1].spans.startswith("entropy:6:")
+    texts = {n: "k " + "a1" * 300 + "".join(r.choice("0123456789abcdef") for _ in range(n)) + "1a" * 300 + " end"
+             for n in (18, 19, 20, 299, 300, 301, 319, 320, 398, 400, 401, 419, 420, 800, 919)}                            # chunk borders
+    lines = S.secrets(frame(spark, [(n, t, None, None, None) for n, t in texts.items()])).collect()
+    for x in lines:
+        span = [y for y in x.spans.split(",") if y.startswith("entropy")]
+        assert span == [f"entropy:{a}:{b}" for a, _, b in piece_spans(texts[x.doc_id])]
+
+
 # --- classifiers -----------------------------------------------------------------------------
 
 def area(score, label):
-    order = np.argsort(score, kind="stable")
-    rank = np.empty(len(score))
-    rank[order] = np.arange(1, len(score) + 1)
+    low, high = (np.searchsorted(np.sort(score), score, side=s) for s in ("left", "right"))
+    rank = (low + 1 + high) / 2                        # ties share their mean rank
     p = label.sum()
     return (rank[label == 1].sum() - p * (p + 1) / 2) / (p * (len(label) - p))
 

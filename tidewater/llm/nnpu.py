@@ -21,14 +21,39 @@ def _sigmoid(z):
 
 @dataclass
 class Linear:
-    mean: np.ndarray
-    scale: np.ndarray
+    mean: np.ndarray | None           # None: rows are taken as they are
+    scale: np.ndarray | None
     weight: np.ndarray
     bias: float
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Probability of the positive class."""
-        return _sigmoid(((x - self.mean) / self.scale) @ self.weight + self.bias)
+        return _sigmoid((x if self.mean is None else (x - self.mean) / self.scale) @ self.weight + self.bias)
+
+
+class Rows:
+    """0/1 rows by the columns they hold: ``columns[offsets[i]:offsets[i + 1]]`` are those of row i."""
+
+    def __init__(self, columns: np.ndarray, offsets: np.ndarray, width: int):
+        self.columns, self.offsets, self.shape = columns, offsets, (len(offsets) - 1, width)
+        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def __matmul__(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.columns], minlength=len(self))
+
+    def back(self, dz: np.ndarray) -> np.ndarray:
+        return np.bincount(self.columns, weights=dz[self.row], minlength=self.shape[1])
+
+    def take(self, rows: np.ndarray) -> Rows:
+        n = np.diff(self.offsets)[rows]
+        off = np.concatenate([[0], np.cumsum(n)])
+        return Rows(self.columns[np.repeat(self.offsets[rows] - off[:-1], n) + np.arange(off[-1])], off, self.shape[1])
+
+    def __getitem__(self, part: slice) -> Rows:
+        return self.take(np.arange(len(self))[part])
 
 
 class _Adam:
@@ -44,16 +69,18 @@ class _Adam:
 
 def fit(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, l2: float = 1e-4,
         centre: bool = True) -> Linear:
-    """Linear model of least non-negative risk; deterministic."""
+    """Linear model of least non-negative risk; deterministic.  Without ``centre`` the rows may be ``Rows``."""
     d = x_u.shape[1]
-    mean = x_u.mean(axis=0) if centre else np.zeros(d)
-    scale = np.maximum(x_u.std(axis=0), 1e-3) if centre else np.ones(d)
-    p, u = ((x_p - mean) / scale).astype(np.float32), ((x_u - mean) / scale).astype(np.float32)
+    mean, scale, p, u = None, None, x_p, x_u
+    if centre:
+        mean, scale = x_u.mean(axis=0), np.maximum(x_u.std(axis=0), 1e-3)
+        p, u = ((x_p - mean) / scale).astype(np.float32), ((x_u - mean) / scale).astype(np.float32)
     w, adam = np.zeros(d + 1), _Adam(d + 1, rate)
     w[d] = np.log(prior / (1 - prior))
 
     def back(x, dz):
-        return np.append(x.T @ dz.astype(np.float32), dz.sum()) / len(x)
+        down = x.back(dz) if isinstance(x, Rows) else x.T @ dz.astype(np.float32)
+        return np.append(down, dz.sum()) / len(x)
 
     for _ in range(steps):
         zp, zu = p @ w[:d].astype(np.float32) + w[d], u @ w[:d].astype(np.float32) + w[d]
@@ -65,7 +92,7 @@ def fit(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 400, rate:
     return Linear(mean, scale, w[:d].copy(), float(w[d]))
 
 
-def estimate_prior(x_p: np.ndarray, x_u: np.ndarray, centre: bool = True, steps: int = 150) -> float:
+def estimate_prior(x_p: np.ndarray, x_u: np.ndarray, centre: bool = True, steps: int = 150, l2: float = 1e-2) -> float:
     """Share of positives among unlabelled rows.
 
     A positive-against-unlabelled model is fitted on every other row; on the rest
@@ -74,7 +101,7 @@ def estimate_prior(x_p: np.ndarray, x_u: np.ndarray, centre: bool = True, steps:
     """
     if len(x_p) < 4 or len(x_u) < 4:
         return 0.5
-    model = fit(x_p[::2], x_u[::2], 0.5, steps=steps, centre=centre, l2=1e-2)
+    model = fit(x_p[::2], x_u[::2], 0.5, steps=steps, centre=centre, l2=l2)
     s_p, s_u = np.sort(model.score(x_p[1::2])), np.sort(model.score(x_u[1::2]))
     share_p = 1 - np.searchsorted(s_p, s_p, side="left") / len(s_p)
     share_u = 1 - np.searchsorted(s_u, s_p, side="left") / len(s_u)
