@@ -240,6 +240,28 @@ def test_furniture_is_left_out():
     assert H.trained().main_text(page) == "Head & line\n\nFirst paragraph goes on, with bold and link.\n\nSecond one — done.\n\nitem"
 
 
+@pytest.mark.parametrize("markup, want", [
+    ("<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> in all cases.</p>", "Energy is E=m in all cases."),
+    ("<noscript><p>This paragraph stands in an element for readers without scripts.</p></noscript>",
+     "This paragraph stands in an element for readers without scripts."),
+    ("<object><p>This paragraph stands in an embedded object of the article.</p></object>",
+     "This paragraph stands in an embedded object of the article."),
+    ("<p>A drawing <svg><text>labelled axis</text></svg> and a <canvas>fallback</canvas>.</p>", "A drawing labelled axis and a fallback."),
+    ("<template><p>never shown</p></template><p>Shown to every reader.</p>", "Shown to every reader."),
+])
+def test_article_keeps_the_text_of_every_element(markup, want):
+    page = f"<html><body><nav><ul><li><a href=/>Home</a></ul></nav><article><h1>Title</h1><p>The first paragraph goes on.</p>{markup}</article>" \
+           "<footer><p>&copy; Site, all rights reserved</p></footer></body></html>"
+    assert H.trained().main_text(page) == f"Title\n\nThe first paragraph goes on.\n\n{want}"
+
+
+def test_long_comments_are_left_out_and_long_paragraphs_with_their_words_stay():
+    long = " ".join(f"word{i} goes on" for i in range(300))
+    page = f"<body><article><h1>Title</h1><p>(c) {long} we share all rights reserved</p></article>" \
+           f'<section id="comments"><h3>Comments</h3><div class="comment"><p>{long} I think.</p></div></section></body>'
+    assert H.trained().main_text(page) == f"Title\n\n(c) {long} we share all rights reserved"
+
+
 def test_pages_awkward(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>unclosed <b>bold"), (4, "u", "no markup at all"), (4, "u", "no markup at all"),
             (None, "u", "<article><p>x</p></article>"), (5, "u", "<script>never closed <p>text"), (6, "u", "<article><p>" + "long text " * 50_000 + "</p></article>"),

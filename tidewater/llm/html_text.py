@@ -4,7 +4,8 @@ A page is read into leaf blocks: the text between two borders of block elements.
 Each block has features of its ancestors (tags, class and id words) and of its
 text.  A chain of two labels, main text or not, is trained on labelled pages by
 maximum likelihood and decoded by Viterbi; blocks labelled main form the text.
-Scripts, styles and other elements without readable text never form blocks.
+Scripts, styles, templates and the page's head never form blocks; the text of formulas,
+drawings, embedded objects and their fallbacks belongs to the block it stands in.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Elements of the HTML standard.
-SILENT = frozenset("script style noscript template svg math iframe object canvas audio video head".split())
+SILENT = frozenset("script style template head".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre
@@ -143,10 +144,8 @@ def text_features(text: str, linked: int) -> list[str]:
            "linked=" + ("0" if share == 0 else "1" if share < 0.4 else "2" if share < 0.9 else "3")]
     if text[-1] in ".!?…":
         out.append("ends")
-    if n < 600:
-        low = text.lower()
-        out += ["says=" + name for name, words in FURNITURE.items() if any(w in low for w in words)]
-    return out
+    low = text.lower()
+    return out + ["says=" + name for name, words in FURNITURE.items() if any(w in low for w in words)]
 
 
 # --- the chain ----------------------------------------------------------------------------
@@ -308,7 +307,7 @@ class _Page:
     def comments(self):
         def one():
             self.block(self.r.choice(["div", "h4", "p"]), 0, 1, 4, self.named("comment-author", "author", "comment-meta"))
-            self.lines(0, 3, 60)
+            self.lines(0, 3, self.r.choice([60, 60, 250]))
 
         self.open(*self.r.choice([("section", ' id="comments"'), ("div", ' class="comments"'), ("div", ' id="disqus_thread"'), ("ol", ' class="comment-list"'),
                                   ("section", ' class="comments-area responses"'), ("div", ' class="reader-comments discussion"')]))
@@ -332,10 +331,11 @@ class _Page:
     def notice(self):
         tag = self.r.choice(["div", "section", "p"])
         attrs = self.named("notice", "cookie", "cookie-banner", "alert", "gdpr", "consent", "popup", "modal", "newsletter", "subscribe", "disclaimer")
+        longest = self.r.choice([30, 30, 200])
         if tag == "p":
-            self.block("p", 0, 3, 30, attrs)
+            self.block("p", 0, 3, longest, attrs)
         else:
-            self.box(tag, attrs, self.lines, 0, 3, 30)
+            self.box(tag, attrs, self.lines, 0, 3, longest)
 
     def header(self):
         tag = self.r.choice(["header", "header", "div"])
@@ -369,7 +369,7 @@ class _Page:
         for _ in range(self.r.randint(1, 8)):
             kind = self.r.random()
             if kind < 0.66:
-                self.block("p", 1, 1, 160)
+                self.block("p", 1, 1, 160, before=self.r.choice([""] * 24 + ["(c) "]))
             elif kind < 0.73:
                 self.block(self.r.choice(["h2", "h3"]), 1, 1, 8)
             elif kind < 0.79:
