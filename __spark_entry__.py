@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import oracle_queries as OQ
@@ -28,7 +28,7 @@ from tidewater.plans.customers import customer_quintiles, customers360, rfm_scor
 from tidewater.plans.products import product_quantiles
 from tidewater.plans.enrich import orders_enriched
 from tidewater.plans.pipeline import refresh_all
-from tidewater.sinks.tables import materialize, read_published
+from tidewater.sinks.tables import materialize, read_published, write_keyed
 from tidewater.schemas import CORRUPT_COL
 from tidewater.sources import synth
 from tidewater.session import scratch_path, shared_dir, table_path
@@ -169,15 +169,36 @@ def _key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.key_history(_lazy(spark, sf_dir).dim_products, "product_id", 1)
 
 
+def _stored_key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of one given product, from a stored dimension in key order."""
+    path = write_keyed(_lazy(spark, sf_dir).dim_products, scratch_path(spark, "dim-products-keyed"), "product_id")
+    return H.key_history(spark.read.parquet(path), "product_id", 1)
+
+
+def _audit_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit time of the silver orders of one triggered run: rows, rows that carry it, values of it (one per micro-batch)."""
+    out = scratch_path(spark, "silver-orders-audited")
+    SS.start_silver_orders(spark, _stream_bronze(spark, sf_dir), out, scratch_path(spark, "cp-audited"), audit=True).awaitTermination()
+    return spark.read.parquet(out).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("processed_at").alias("n_stamped"),
+        F.count_distinct("processed_at").alias("n_stamps"))
+
+
 def _busiest_key_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = materialize(spark, _lazy(spark, sf_dir).dim_products, "dim-products")
     return hist.join(F.broadcast(L.most_frequent_key(hist, "product_id")), "product_id", "left_semi")
 
 
 def _synth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many synthetic landing lines as the lineitem table has rows."""
-    n = spark.read.parquet(table_path(sf_dir, "lineitem")).count()
-    return synth.generate(spark, n, seed=42)
+    """A synthetic landing line for each row of lineitem: numbered by file and row, with that row's order and product."""
+    rows = spark.read.parquet(table_path(sf_dir, "lineitem")).select(
+        "l_orderkey", "l_partkey", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)             # over one row a file
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    product = F.col("l_partkey").cast("long")
+    return synth.synthetic_lines(rows.join(files, "_file").withColumn("id", F.col("_before") + F.col("_row")), seed=42, given={
+        "order_id": F.col("l_orderkey").cast("long"), "product_card_id": product, "order_item_cardprod_id": product})
 
 
 def _int_to_bool(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +260,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "event_id", "value", miles_to_km("value").alias("value_km")),
         "sql_current_dim": _sql_current_dim,
         "scd2_key_history": _key_history,
+        "scd2_stored_key_history": _stored_key_history,
+        "audit_stamps": _audit_stamps,
         "scd2_busiest_key_history": _busiest_key_history,
         "synth_lines": _synth_lines,
         "customer_quintiles": lambda s, d: customer_quintiles(_m(s, d).orders_enriched),

@@ -607,6 +607,8 @@ QUERIES.update({
     "miles_to_km": "SELECT event_id, value, CAST(value * 1.60934 AS FLOAT) AS value_km FROM events",
     "sql_current_dim": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE __END_AT IS NULL",
     "scd2_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = 1",
+    "scd2_stored_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = 1",
+    "audit_stamps": f"SELECT count(*) AS n_rows, count(*) AS n_stamped, CAST(1 AS BIGINT) AS n_stamps FROM ({_PIPE['SILVER_ORDERS']}) o",
     "scd2_busiest_key_history": f"SELECT * FROM ({DIM_PRODUCTS}) h WHERE product_id = ({_MOST_VERSIONS})",
 })
 

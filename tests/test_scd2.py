@@ -153,3 +153,25 @@ def test_hot_key_with_nulls_ties_and_versions_over_many_segments(spark):
     rows = [(1, i, None if 100 < i < 700 else "A" if i < 900 else "B", str(i)) for i in range(1000)] + [(1, 500, "Z", "tie")]
     rows += [(k, i, "x", "y") for k in range(2, 40) for i in range(3)]
     assert _run(spark, rows, segments=16) == brute_scd2(rows)
+
+
+def _scanned(df):
+    """Rows that the file scan of ``df`` handed on, by its own metric."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_key_lookup_in_a_stored_dimension_opens_few_row_groups(spark, tmp_dir):
+    from tidewater.operators.scd2 import key_history
+    from tidewater.sinks.tables import write_keyed
+    rows = spark.range(400_000).selectExpr("id * 7919 % 40000 * 2 key", "id at", "sha2(string(id), 256) state")
+    spark.conf.set("parquet.block.size", str(256 << 10))
+    try:
+        path = write_keyed(rows, tmp_dir("keyed"), "key", 8)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    stored = spark.read.parquet(path)
+    assert sorted(map(tuple, key_history(stored, "key", 4242).collect())) == sorted(map(tuple, key_history(rows, "key", 4242).collect()))
+    assert 10 <= _scanned(key_history(stored, "key", 4242)) < 400_000 / 20
+    assert _scanned(key_history(stored, "key", 4243)) == 0                  # inside a file's range, but not in its Bloom filter

@@ -28,6 +28,23 @@ def test_generator_same_rows_for_any_partitioning(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_generator_ids_beyond_32_bits(spark):
+    ids = spark.range(3_000_000_000, 3_000_000_010)
+    assert [r[0] for r in synth.synthetic_lines(ids).select("order_item_id").orderBy("order_item_id").collect()] == [
+        3_000_020_000 + i for i in range(10)]
+
+
+def test_generated_lines_follow_the_given_rows(spark):
+    import __spark_entry__ as E
+    lines = E.queries()["synth_lines"](spark, E.SMOKE_DIR)
+    source = spark.read.parquet(f"{E.SMOKE_DIR}/lineitem.parquet")
+    n = source.count()
+    ids = sorted(r[0] for r in lines.select("order_item_id").collect())
+    assert ids == list(range(20000, 20000 + n))
+    keys = lambda df, *c: sorted(map(tuple, df.select(*c).collect()))
+    assert keys(lines, "order_id", "product_card_id") == keys(source, "l_orderkey", "l_partkey")
+
+
 def test_change_load_changes_every_row_of_chosen_customers(spark):
     base = clean(synth.generate(spark, 2000, seed=1))
     ch = synth.change_load(base, 5, seed=1)

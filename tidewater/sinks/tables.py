@@ -32,6 +32,18 @@ def materialize(spark: SparkSession, df: DataFrame, name: str,
     return spark.read.parquet(path)
 
 
+def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = None) -> str:
+    """Table for lookups by ``key``: rows in key order over the files, Bloom filters of the key.
+
+    An equality on the key then opens the few row groups whose statistics and filter admit it.  Sorted ranges are
+    split by key alone, so all rows of one key lie in one file (a hot key in one task).
+    """
+    n = [partitions] if partitions else []
+    (df.repartitionByRange(*n, key).sortWithinPartitions(key).write.mode("overwrite")
+       .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+    return path
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str | None = None,
               mode: str = "overwrite") -> str:
     """Landing-style CSV files with a header row (one file per task)."""

@@ -71,8 +71,12 @@ def _uniform(row_id, seed, salt, lo: float, hi: float, scale: int) -> Column:
     return (F.lit(lo) + k / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
 
 
-def synthetic_lines(ids: DataFrame, seed: int = 42, id_col: str = "id", id_offset: int = 0) -> DataFrame:
-    """One landing line (53 typed columns, normalised names) per row of ``ids``."""
+def synthetic_lines(ids: DataFrame, seed: int = 42, id_col: str = "id", id_offset: int = 0,
+                    given: dict[str, Column] | None = None) -> DataFrame:
+    """One landing line (53 typed columns, normalised names) per row of ``ids``.
+
+    ``given``: landing columns taken from ``ids`` instead of being drawn.
+    """
     i = F.col(id_col)
     cat_idx = F.pmod(_u(i, seed, "category"), F.lit(len(CATEGORIES)))
     category = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), (cat_idx + 1).cast("int"))
@@ -145,7 +149,7 @@ def synthetic_lines(ids: DataFrame, seed: int = 42, id_col: str = "id", id_offse
         "order_item_cardprod_id": product_id,
         "order_item_discount": discount,
         "order_item_discount_rate": F.when(price > 0, (discount / price).cast("decimal(18,4)")).otherwise(0),
-        "order_item_id": (F.lit(20000 + id_offset) + i).cast("int"),
+        "order_item_id": (F.lit(20000 + id_offset) + i).cast("long"),
         "order_item_product_price": price,
         "order_item_profit_ratio": ratio,
         "order_item_quantity": qty,
@@ -168,6 +172,7 @@ def synthetic_lines(ids: DataFrame, seed: int = 42, id_col: str = "id", id_offse
         "shipping_date_dateorders": F.date_format(ship_ts, "MM/dd/yyyy HH:mm"),
         "shipping_mode": mode,
     }
+    cols.update(given or {})
     names = [normalize_name(h) for h in RAW_HEADERS]
     return ids.select(*[cols[c].alias(c) for c in names])
 
