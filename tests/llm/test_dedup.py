@@ -83,6 +83,33 @@ def test_state_continues_with_later_arrivals(spark, tmp_dir):
     assert [(bytes(r["__tw_digest"]), r.keeper.doc_id, r.group_size) for r in last] == [(b"a", 9, 2)]
 
 
+@pytest.mark.parametrize("shared", [False, True])
+def test_later_arrivals_are_compared_with_the_texts_kept_before(spark, tmp_dir, monkeypatch, shared):
+    """Also where every text has the same digest, so that only the bytes tell them apart."""
+    if shared:
+        monkeypatch.setattr(X, "_digest", lambda df: df.withColumn("__tw_digest", F.unhex(F.lit("00"))))
+    folder, seen = tmp_dir("dedup-folder"), []
+    arrivals = [[(5, "x"), (6, "y"), (7, "y"), (8, None)], [(1, "x"), (2, "z"), (9, "y"), (3, "")], [(4, "z"), (10, "w"), (0, "x")]]
+    for i, rows in enumerate(arrivals):
+        path = tmp_dir(f"arrival-{i}")
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+        got = {g.doc_id: (g.keep_id, g.group_size, g.kept) for g in X.exact_duplicates(spark.read.parquet(path), folder).collect()}
+        seen += rows
+        same = lambda t: [d for d, u in seen if (u or "") == (t or "")]
+        assert got == {d: (max(same(t)), len(same(t)), d == max(same(t))) for d, t in rows}
+
+
+def test_a_kept_text_that_is_gone_stops_the_run(spark, tmp_dir):
+    from tidewater.session import delete_path
+    folder, paths = tmp_dir("gone-folder"), [tmp_dir("gone-0"), tmp_dir("gone-1")]
+    for path, doc_id in zip(paths, (9, 1)):
+        spark.createDataFrame([(doc_id, "x")], "doc_id long, text string").write.parquet(path)
+    X.exact_duplicates(spark.read.parquet(paths[0]), folder).collect()
+    delete_path(spark, paths[0])
+    with pytest.raises(Exception):
+        X.exact_duplicates(spark.read.parquet(paths[1]), folder).collect()
+
+
 # --- SimHash ---------------------------------------------------------------------------------
 
 def fingerprint(text):
