@@ -208,6 +208,74 @@ def test_mix_awkward_rows(spark):
     assert M.mixed_documents(frame(spark, [])).count() == 0
 
 
+def taken_expected(spark, rows, block, seed=42):
+    """Sorted (doc_id, size, taken), block by block; only the seeded hashes come from Spark."""
+    from pyspark.sql import functions as F
+    size = [len(WORD.findall(r[1] or "")) for r in rows]
+    keyed = spark.createDataFrame([(i, r[0], r[1] or "") for i, r in enumerate(rows)], "i int, d long, t string").withColumn(
+        "h", F.xxhash64(F.lit(seed), "d", "t"))
+    hashes = {r.i: (r.h, r.o) for r in keyed.withColumn("o", F.xxhash64(F.lit(seed + 2), "h")).collect()}
+    totals = defaultdict(int)
+    for r, n in zip(rows, size):
+        totals[r[3]] += n
+    target = targets_expected(dict(totals))
+    quota = {s: 2 * totals[s] if target[s] >= 2 * totals[s] else int(target[s] // block) * block for s in target}
+    left = int(sum(target.values()) + 0.5) - sum(quota.values())
+    for s in sorted(target, key=lambda s: (-target[s] / (2 * int(target[s] // block) + 1), list(target).index(s))):
+        more = max(0, min(block, 2 * totals[s] - quota[s], left))
+        quota[s], left = quota[s] + more, left - more
+    names = sorted((s for s in totals if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in totals)
+    parts = int(sum(totals.values()) ** 0.5 / 32) + 1
+    shard_of = lambda i: hashes[i][0] % parts % (int(totals[rows[i][3]] ** 0.5 / 32) + 1)
+    shards = defaultdict(list)
+    for i, r in enumerate(rows):
+        shards[r[3], shard_of(i)].append(i)
+    words = {k: sum(size[i] for i in own) for k, own in shards.items()}
+    ids = [(names.index(s), k, b) for (s, k), n in words.items() for b in range(-(-n // block))]
+    order = {(r.s, r.k, r.b): r.x for r in spark.createDataFrame([(s + 1, k, b) for s, k, b in ids], "s int, k int, b long").withColumn(
+        "x", F.xxhash64(F.lit(seed + 1), "s", "k", "b")).collect()} if ids else {}
+    out = []
+    for s in names:
+        own, left, dealt = sorted(k for t, k in shards if t == s), quota[s], defaultdict(int)
+        for _, k, j in sorted((-words[s, k] / (2 * j - 1), k, j) for k in own for j in range(1, -(-2 * words[s, k] // block) + 1)):
+            n = min(block, 2 * words[s, k] - block * (j - 1), left)
+            dealt[k], left = dealt[k] + n, left - n
+        for k in own:
+            n = words[s, k]
+            whole, some = divmod(dealt[k], n) if n else (0, 0)
+            length = lambda b: min(block, n - b * block)
+            times = []
+            for b in range(-(-n // block)):
+                times += [whole] * length(b)
+            for b in sorted(range(-(-n // block)), key=lambda b: (length(b) < block, order[names.index(s) + 1, k, b], b)):
+                take = min(length(b), some)
+                some -= take
+                for w in range(b * block, b * block + take):
+                    times[w] += 1
+            at = 0
+            for i in sorted(shards[s, k], key=lambda i: (hashes[i][1], rows[i][0] is not None, rows[i][0] or 0, size[i])):
+                out.append((str(rows[i][0]), size[i], sum(times[at:at + size[i]])))
+                at += size[i]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_mix_equals_block_by_block_selection(spark, block):
+    r = random.Random(11)
+    hot = [(d, " ".join(f"w{r.randrange(99)}" for _ in range(r.randint(0, 60))), "en", "a", 1) for d in [77] * 150 + [None] * 150]
+    for rows in (odd_rows(), odd_rows() + hot + [(500 + i, "x " * r.randint(1, 300), "en", r.choice("abc"), 1) for i in range(300)]):
+        got = sorted((str(g.doc_id), g.size, g.taken) for g in M.mix(frame(spark, rows), block=block).collect())
+        assert got == taken_expected(spark, rows, block)
+
+
+def test_rows_of_one_id_or_of_none_spread_over_the_shards(spark):
+    rows = [(d, f"row {i} " + "w " * 98, "en", "a", 1) for i, d in enumerate([5] * 1500 + [None] * 1500 + list(range(10, 1510)))]
+    plan = M.Mix(frame(spark, rows)).placed
+    sizes = {(k.doc_id, k.shard): k["count"] for k in plan.where("doc_id = 5 or doc_id is null").groupBy("doc_id", "shard").count().collect()}
+    n = plan.select("shard").distinct().count()
+    assert n > 10 and len(sizes) == 2 * n and max(sizes.values()) < 3 * 1500 / n
+
+
 def test_small_source_meets_its_target_in_a_large_corpus(spark):
     from pyspark.sql import functions as F
     docs = spark.range(100).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a "), 10).alias("text"), F.lit("a").alias("source"))

@@ -139,10 +139,12 @@ class Mix:
         self.block = block
         sized = save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                                  F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+                                 F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), text_or_empty()).alias("row_hash"),
                                  (uid if uid is not None else F.monotonically_increasing_id()).alias("uid")), "mix-sizes")
         words = sized.agg(F.sum("size")).first()[0] or 0
-        # rows are joined by fine parts, as many as the largest source could need; a source's parts form its own number of shards
-        sized = sized.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(int(words ** 0.5 / 32) + 1)).cast("int"))
+        # rows are joined by fine parts, as many as the largest source could need; a source's parts form its own number of shards;
+        # id and text choose the part, so rows that share an id, or have none, spread as others do
+        sized = sized.withColumn("part", F.pmod("row_hash", F.lit(int(words ** 0.5 / 32) + 1)).cast("int"))
         parts = save(sized.groupBy("source", "part").agg(F.sum("size").alias("part_size")), "mix-parts")
         sources = source_targets(parts.groupBy("source").agg(F.sum("part_size").alias("source_size")), weights, share, most)
         sources = save(source_words(sources, block, most).withColumnRenamed("words", "quota"), "mix-sources")
@@ -176,7 +178,7 @@ class Mix:
         own = parts.select(F.col("source").alias("_s"), F.col("part").alias("_p"), "source_no", "shard").join(
             self.shards.drop("source"), ["source_no", "shard"])
         keyed = sized.join(own, F.col("source").eqNullSafe(F.col("_s")) & (F.col("part") == F.col("_p"))).drop("_s", "_p", "part")
-        line = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "doc_id"), "doc_id", "size", "uid")
+        line = Window.partitionBy("source_no", "shard").orderBy(F.xxhash64(F.lit(seed + 2), "row_hash"), "doc_id", "size", "uid")
         placed = keyed.withColumn("at", F.coalesce(F.sum("size").over(
             line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         self.placed = placed
@@ -208,7 +210,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Null texts have size 0; the null source is a source of its own, last in
     order; documents of no words take none; rows that share a doc_id are dealt
-    singly; an empty table gives an empty result; other columns are ignored.
+    singly, and equal ones are interchangeable; an empty table gives an empty result; other columns are ignored.
     """
     return Mix(docs, **options).taken().select("doc_id", "size", "source_size", "target", "taken", "source")
 
