@@ -87,3 +87,9 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder of any store."""
+    fs, p = _file_system(spark, path)
+    return fs.getContentSummary(p).getLength()
