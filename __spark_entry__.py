@@ -31,8 +31,9 @@ from tidewater.plans.pipeline import refresh_all
 from tidewater.sinks.tables import materialize, read_published, write_keyed
 from tidewater.schemas import CORRUPT_COL
 from tidewater.sources import synth
-from tidewater.session import scratch_path, shared_dir, table_path
+from tidewater.session import folder_bytes, scratch_path, shared_dir, table_path
 from tidewater.streaming import bronze as SB
+from tidewater.streaming import ingest as IN
 from tidewater.streaming import silver as SS
 from tidewater.streaming.scd2_refresh import read_dimension, start_scd2_stream
 
@@ -77,6 +78,15 @@ def _parse_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
         parse_multi_ts("shipping_date_dateorders").alias("shipping_date"))
 
 
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after an ingestion in several batches, packed into files by bytes."""
+    landing, root = _landing(spark, sf_dir, files=max(4, spark.sparkContext.defaultParallelism)), scratch_path(spark, "lines")
+    share = max(1, folder_bytes(spark, landing) // 4)
+    IN.start_ingest(spark, landing, root, scratch_path(spark, "cp-lines"), max_bytes_per_trigger=str(share)).awaitTermination()
+    IN.compact_lines(spark, root)
+    return IN.read_lines(spark, root, "bronze").drop("ingested_at")
+
+
 def _latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = "ISO-8859-1"
     path = _landing(spark, sf_dir, encoding=enc, name="landing-latin1",
@@ -241,6 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_or_drop": lambda s, d: I.bronze_batch(s, _landing(s, d)),
         "quarantine_malformed": lambda s, d: I.quarantine_batch(s, _landing(s, d)).drop(CORRUPT_COL),
         "expectation_metrics": lambda s, d: I.rule_metrics_batch(s, _landing(s, d)),
+        "bronze_compacted": _compacted,
         "stream_csv_to_bronze": lambda s, d: s.read.parquet(_stream_bronze(s, d)).drop("ingested_at"),
         "stream_silver_orders": _stream_silver_orders,
         "scd2_stream": _scd2_stream,

@@ -552,6 +552,7 @@ _LANDING_BRONZE = f"SELECT *, shipping_date_dateorders AS ingested_at FROM ({BRO
 _PIPE = medallion_sql(_LANDING_BRONZE)
 
 QUERIES.update({
+    "bronze_compacted": BRONZE_FROM_LANDING,
     "stream_csv_to_bronze": BRONZE_FROM_LANDING,
     "stream_silver_orders": _PIPE["SILVER_ORDERS"],
     "scd2_stream": SCD2_EVENTS,
