@@ -52,6 +52,15 @@ def test_cuts_by_refined_pivots_equal_builtin(spark, monkeypatch):
     assert sorted(tuple(r) for r in cut_ntiles(df, specs, stored=True).collect()) == want
 
 
+def test_the_search_between_pivots_keeps_its_size_where_it_is_pushed_down(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SORTED_AT_ONCE", 40)
+    df = spark.range(500).select("id", (F.col("id") % 97).alias("v"))
+    out = cut_ntiles(df, [("a", 5, [desc("v"), asc("id")]), ("b", 4, [asc("id")])], stored=True)
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 50_000
+    want = ntile_columns(df, [("a", 5, [desc("v"), asc("id")]), ("b", 4, [asc("id")])], method="builtin")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_rows_that_agree_in_the_whole_order_still_fill_the_buckets_evenly(spark):
     got = cut_ntiles(spark.range(23).select(F.lit(7).alias("v")), [("q", 5, [asc("v")])]).groupBy("q").count().collect()
     assert {r["q"]: r["count"] for r in got} == {1: 5, 2: 5, 3: 5, 4: 4, 5: 4}
