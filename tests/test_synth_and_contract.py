@@ -67,3 +67,28 @@ def test_entry_and_registry(spark):
     import re
     own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}       # the training-data operators are optional
     assert own - set(o) == {"synth_lines"} and set(oracle_queries.QUERIES) == own - {"synth_lines"}
+
+
+def test_synthetic_lines_are_numbered_without_a_shuffle_of_the_lines(spark, tmp_dir):
+    from __spark_entry__ import queries
+    sf = tmp_dir("sf")
+    spark.range(9).selectExpr("id as l_orderkey", "id as l_partkey").coalesce(1).write.parquet(f"{sf}/lineitem.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = queries()["synth_lines"](spark, sf)
+        assert "SortMergeJoin" not in lines._jdf.queryExecution().executedPlan().toString()     # one file: it would be one task
+        assert sorted(r.order_id for r in lines.select("order_id").collect()) == list(range(9))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_any_session_gets_methods_that_are_compiled(spark):
+    from tidewater.session import shared_dir
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    other = spark.newSession()
+    other.conf.set(limit, "65535")
+    shared_dir(other)
+    assert other.conf.get(limit) == "8000"
+    other.conf.set(limit, "4000")
+    shared_dir(other)
+    assert other.conf.get(limit) == "4000"
