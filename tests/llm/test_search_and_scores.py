@@ -217,6 +217,19 @@ def test_scores_of_odd_rows_and_words_outside_the_head(spark, monkeypatch):
     check_counts(L.score_documents(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_a_large_corpus_is_learnt_from_whole():
+    import pyarrow as pa
+    assert L.visits(10 ** 12) == 1 and L.visits(500_000) == 4 and L.visits(0) == L.MOST_VISITS
+    lex = L.Lexicon(pa.array(["a", "b"], pa.large_string()), np.array([9, 5]), np.array([0, 1]), np.full(L.BUCKETS, 3), np.zeros(L.BUCKETS),
+                    2, 3, np.array([9, 5, 3, 1]), 10 ** 12, 2)
+    flat = lex.shape().start()
+    held = lambda x: type("Held", (), {"value": x})()
+    texts = ["a b " * 700, "", "a c", "b " * 513]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    out = list(L._train(held(lex), held((flat, np.full_like(flat, 1e-6))))(iter([batch])))
+    assert out[0].column(1).to_pylist() == [sum(len(t.split()) + 1 for t in texts)] * 16
+
+
 def test_model_is_a_distribution_and_its_gradient_is_right():
     shape = G.Shape(np.array([50, 20, 9, 9, 5, 3, 1, 1, 1, 1]), 4)
     m, rng = G.Model(shape, shape.start()), np.random.default_rng(0)
