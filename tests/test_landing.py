@@ -98,3 +98,16 @@ def test_cluster_sessions_need_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Cluster())
+
+
+def test_landing_files_are_compressed_and_bounded_in_lines(spark):
+    import os
+    from tidewater.plans import ingest as I
+    sf = "/root/testdata/sf0.001"
+    path = I.write_landing(spark, sf, lines_per_file=1000)
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    names = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert all(f.endswith(".csv.gz") for f in names) and len(names) >= n / 1000
+    sizes = I.untyped_lines(spark, path).groupBy("_metadata.file_path").count().collect()
+    assert max(r["count"] for r in sizes) <= 1000 and sum(r["count"] for r in sizes) == n
+    assert sum(os.path.getsize(f"{path}/{f}") for f in names) < 150 * n           # plain text takes some 350 bytes a line
