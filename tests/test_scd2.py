@@ -149,6 +149,30 @@ def test_without_hot_keys_one_shuffle_and_one_sort(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
 
 
+def test_tasks_grow_with_the_rows(spark, monkeypatch):
+    from tidewater import session
+    monkeypatch.setattr(session, "ROWS_OF_A_TASK", 100)
+    df = spark.range(4000).selectExpr("id % 1000 AS k", "id AS seq", "id % 3 AS t")
+    plan = scd2(df, ["k"], "seq", ["t"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(k#" in plan and ", 40)" in plan and plan.count("Sort [") == 1
+    rows = [(k, i, "AB"[i % 7 % 2], str(i)) for k in range(40) for i in range(30)] + [(99, i, "AB"[i // 5 % 2], "") for i in range(1500)]
+    assert _run(spark, rows, segments=None) == brute_scd2(rows)          # 99 is cut into pieces of about 100 rows
+
+
+def test_joins_of_many_lines_start_with_more_partitions(spark, monkeypatch):
+    from tidewater import session
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(session, "ROWS_OF_A_TASK", 100)
+    try:
+        session.room_for(spark, 800)                    # no more than the session's 8
+        assert spark.conf.get(name, None) is None
+        session.room_for(spark, 1201)
+        session.room_for(spark, 900)
+        assert spark.conf.get(name) == "13"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_hot_key_with_nulls_ties_and_versions_over_many_segments(spark):
     rows = [(1, i, None if 100 < i < 700 else "A" if i < 900 else "B", str(i)) for i in range(1000)] + [(1, 500, "Z", "tie")]
     rows += [(k, i, "x", "y") for k in range(2, 40) for i in range(3)]

@@ -17,7 +17,9 @@ more than its share of the rows is cut into several along the sequence, at
 quantiles of its own sequence values.  The input is read and shuffled once, by
 (key, segment), sorted once, and turned into versions by three stacked window
 operators with frames that only move forward, so the work is linear in a segment's
-rows.  Which keys are cut is found beforehand by a frequent-items sketch over
+rows.  There are as many tasks as shuffle partitions, and more of them where one would
+have to sort over ``ROWS_OF_A_TASK`` rows, so a task's memory does not grow with the
+input.  Which keys are cut is found beforehand by a frequent-items sketch over
 the keys alone; only the work depends on it, never the result.
 
 Without such keys that is all.  With them the segments' versions are stored, and
@@ -34,12 +36,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..schemas import SCD_END, SCD_START
+from ..session import tasks_for
 from ..sinks.tables import materialize
 
 #: Keys followed by the frequent-items sketch: a key with 1/1000 of the rows is surely found.
 _FOLLOWED = 4096
 
 
+def default_segments(changes: DataFrame, n: int = 0) -> int:
+    """The session's shuffle partitions, at least 16; more where a task would get over ``ROWS_OF_A_TASK`` of ``n`` rows."""
+    return max(16, int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")), tasks_for(n))
+
+
 def _ticks(df: DataFrame, seq: str) -> Column | None:
     """A number that grows with the sequence; None if the type has none."""
     kind, c = df.schema[seq].dataType, F.col(seq)
@@ -53,20 +61,26 @@ def _ticks(df: DataFrame, seq: str) -> Column | None:
     return c.cast("double") if isinstance(kind, NumericType) else None
 
 
-def hot_key_cuts(changes: DataFrame, keys: list[str], seq: str, segments: int) -> dict[int, list[float]]:
-    """Hash of each key with over 1/``segments`` of the rows -> where to cut its sequence (ticks, ascending).
+def hot_key_cuts(changes: DataFrame, keys: list[str], seq: str, segments: int | None = None) -> dict[int, list[float]]:
+    """Hash of each key with over 1/``segments`` of the rows -> where to cut its sequence (ticks, ascending)."""
+    return _count_and_cuts(changes, keys, seq, segments)[1]
+
+
+def _count_and_cuts(changes: DataFrame, keys: list[str], seq: str, segments: int | None) -> tuple[int, dict[int, list[float]]]:
+    """The number of rows and what ``hot_key_cuts`` gives.
 
-    Two reads of the key (and, for those keys, the sequence) alone; at most ``segments`` hashes and as many cuts
-    reach the driver.
+    Two reads of the key (and, for those keys, the sequence) alone; at most 4,096 hashes, and ``segments`` cuts of each
+    that is hot, reach the driver.
     """
     ticks = _ticks(changes, seq)
     if ticks is None:
-        return {}
+        return changes.count(), {}
     rows = changes.select(F.xxhash64(*keys).alias("_h"), ticks.alias("_x"))
-    n, found = rows.agg(F.count(F.lit(1)), F.expr(f"approx_top_k(_h, {min(segments, _FOLLOWED)}, {_FOLLOWED})")).collect()[0]
+    n, found = rows.agg(F.count(F.lit(1)), F.expr(f"approx_top_k(_h, {_FOLLOWED}, {_FOLLOWED})")).collect()[0]
+    segments = segments or default_segments(changes, n)
     hot = [r["item"] for r in found or [] if r["count"] > n / segments and r["count"] > 1]
     if not hot:
-        return {}
+        return n, {}
     steps = [i / segments for i in range(1, segments)]
     got = rows.where(F.col("_h").isin(hot)).groupBy("_h").agg(
         F.count(F.lit(1)).alias("c"), F.percentile_approx("_x", steps, 10 * segments).alias("q")).collect()
@@ -74,7 +88,7 @@ def hot_key_cuts(changes: DataFrame, keys: list[str], seq: str, segments: int) -
     for r in got:                                      # about one cut for every n / segments rows of the key
         pieces = max(2, -(-r["c"] * segments // n))
         out[r["_h"]] = sorted({r["q"][max(0, round(i * segments / pieces) - 1)] for i in range(1, pieces)})
-    return out
+    return n, out
 
 
 def _segment(changes: DataFrame, keys: list[str], seq: str, cuts: dict[int, list[float]]) -> DataFrame:
@@ -118,8 +132,10 @@ def _merge_borders(edges: DataFrame, keys: list[str], tracked: list[str], payloa
                          F.coalesce("_own_end", F.lead("_start").over(by_group)).alias(SCD_END))
 
 
-def default_segments(changes: DataFrame) -> int:
-    return max(16, int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _spread(rows: DataFrame, parts: list[str], n: int) -> DataFrame:
+    """``rows`` shuffled by ``parts`` into as many tasks as ``n`` rows need, where the session's number is too small."""
+    tasks = tasks_for(n)
+    return rows.repartition(tasks, *parts) if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
 
 
 def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
@@ -128,7 +144,8 @@ def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
     """History table: keys, other columns, ``__START_AT``, ``__END_AT``.
 
     ``segments``: a key with over 1 / ``segments`` of the rows is cut (default: the session's shuffle partitions, at least
-    16); ``cuts``: what ``hot_key_cuts`` gives, where it is known.  Both shape the work, never the result.  Rows with a null key or a null sequence are ignored.
+    16, and one for every ``ROWS_OF_A_TASK`` rows); ``cuts``: the cuts that ``hot_key_cuts`` gives, where they are known.
+    Both shape the work, never the result.  Rows with a null key or a null sequence are ignored.
     """
     seq = sequence_by
     payload = [c for c in changes.columns if c not in keys and c != seq]
@@ -138,12 +155,14 @@ def scd2(changes: DataFrame, keys: list[str], sequence_by: str,
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     src = changes.where(not_null)
+    n = 0
     if cuts is None:
-        cuts = hot_key_cuts(src, keys, seq, segments or default_segments(changes))
+        n, cuts = _count_and_cuts(src, keys, seq, segments)
     columns = [*keys, *payload, SCD_START, SCD_END]
     if not cuts:
-        return _local_versions(src, keys, seq, tracked, tiebreak).select(*columns)
-    local = _local_versions(_segment(src, keys, seq, cuts), [*keys, "_seg"], seq, tracked, tiebreak)
+        return _local_versions(_spread(src, keys, n), keys, seq, tracked, tiebreak).select(*columns)
+    parts = [*keys, "_seg"]
+    local = _local_versions(_spread(_segment(src, keys, seq, cuts), parts, n), parts, seq, tracked, tiebreak)
     hot = F.xxhash64(*keys).isin(list(cuts))
     stored = materialize(changes.sparkSession, local.withColumn("_edge", hot & (F.col("_first") | F.col("_last")))
                          .select(*columns, "_seg", "_first", "_last", "_edge"), "scd2-segments")
