@@ -23,6 +23,21 @@ def test_ntile_columns_range_chain(spark):
     assert got == want
 
 
+def test_range_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(300).mapInArrow(count, "id long")
+    specs = [("qa", 5, [asc("id")]), ("qb", 4, [desc("id")])]
+    got = sorted(tuple(r) for r in ntile_columns(df, specs, method="range").collect())
+    assert seen.value == 300
+    assert got == [(i, i // 60 + 1, (299 - i) // 75 + 1) for i in range(300)]
+
+
 def test_one_value_holding_a_third_of_rows_is_split(spark):
     n = 3000
     df = spark.range(n).select("id", F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("v"))

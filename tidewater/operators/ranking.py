@@ -10,7 +10,7 @@ pivots, one pass counts the rows between pivots for all orders together, and the
 few intervals that hold a wanted position are searched again until they are small
 enough for one sort.  No row is shuffled and all columns are added in one pass.
 
-``range``: the rows are range-partitioned and sorted by the whole sort tuple,
+``range``: the rows are stored once (the shuffle by ranges reads them twice), range-partitioned and sorted by the whole sort tuple,
 numbered by their place in their range, and the ranges' counts (one row per
 range, as many as the session's shuffle partitions) give the 0-based global
 position ``g``.  With n rows, k buckets, q = n div k, r = n mod k:
@@ -224,6 +224,8 @@ def ntile_columns(df: DataFrame, specs: list[tuple[str, int, list[SortKey]]], me
     """
     if method == "cuts":
         return cut_ntiles(df, specs, stored)
+    if method == "range" and not stored:              # a range shuffle reads its input twice: first a sample for the borders
+        df = materialize(df.sparkSession, df, "ntile-input")
     for name, k, order in specs:
         df = builtin_ntile(df, k, order, name) if method == "builtin" else range_ntile(df, k, order, name, ranges)
     return df
