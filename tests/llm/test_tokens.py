@@ -40,6 +40,16 @@ def test_encoder_equals_library(library):
         assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == want
 
 
+def test_a_worker_keeps_one_encoder_for_each_cache_size(library):
+    small = encoder(tokenizer_path(), 50)
+    assert small is encoder(tokenizer_path(), 50) and small.limit == 50
+    assert encoder(tokenizer_path()).limit == 400_000 and encoder(tokenizer_path(), W.KEPT_PARTS).limit > 400_000
+    texts = [f"w{i} x{i * i}y" for i in range(500)]
+    for enc in (small, encoder(tokenizer_path(), W.KEPT_PARTS)):
+        ids, off = enc.encode(pa.array(texts), 2)
+        assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [e.ids + [2] for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("n,kind", [(1, 0), (40, 0), (700, 0), (3000, 0), (500, 1), (500, 2), (300, 3)])

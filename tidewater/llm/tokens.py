@@ -178,11 +178,11 @@ def _gather(flat: np.ndarray, start: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[take]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker, so its cache serves all tasks of that worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, limit: int = 400_000) -> WordEncoder:
+    """One encoder per Python worker, so its cache (of about ``limit`` parts) serves all tasks of that worker."""
+    if (path, limit) not in _ENCODERS:
+        _ENCODERS[path, limit] = WordEncoder(path, limit)
+    return _ENCODERS[path, limit]

@@ -2,7 +2,7 @@
 
 Documents are range-partitioned and sorted by doc_id.  Each task encodes its
 range and closes a shard at the first document end after ``shard_ids`` ids, so
-memory is bounded by a shard plus the longest document.  A shard file is one
+memory is bounded by a shard, 16 MB of text and the longest document.  A shard file is one
 byte string (format below) stored as one row of a table in the shared folder:
 Spark's commit protocol then makes each file appear once, whole, on any store.
 
@@ -33,6 +33,8 @@ from .common import list_offsets, save, slices, text_or_empty
 from .tokens import encoder, tokenizer_path
 
 MAGIC, VERSION, BLOCK_BITS, SHARD_IDS = b"TWWM", 1, 1 << 16, 1 << 20
+#: Text encoded at once (a word is looked up once in it) and parts of words a worker remembers.
+ENCODED_BYTES, KEPT_PARTS = 16 << 20, 500_000
 _HEAD = struct.Struct("<4sIQIIQQ")
 
 
@@ -199,7 +201,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2,
 
     def run(batches):
         part, shard = TaskContext.get().partitionId(), 0
-        enc = encoder(path)
+        enc = encoder(path, KEPT_PARTS)
         planes = max(1, int(max(enc.lib.get_vocab_size(with_added_tokens=True) - 1, end_id)).bit_length())
         held, n_held = [], 0
 
@@ -214,7 +216,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2,
                 names=["part", "shard", "n_docs", "n_ids", "file"])
 
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text", ENCODED_BYTES):
                 ids, off = enc.encode(batch.column(1), end_id)
                 lo = 0
                 while lo < batch.num_rows:
