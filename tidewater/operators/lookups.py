@@ -10,10 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.tables import materialize
+
 
 def rows_of_keys(rows: DataFrame, keys_from: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``rows`` whose key appears in ``keys_from`` (left semi join)."""
-    return rows.join(keys_from.select(*keys).distinct(), keys, "left_semi")
+    """Rows of ``rows`` whose key appears in ``keys_from`` (left semi join).
+
+    The distinct keys are stored first, so the join is planned with their size: ``rows`` are shuffled only where the keys
+    are too many to broadcast.
+    """
+    wanted = materialize(rows.sparkSession, keys_from.select(*keys).distinct(), "wanted-keys")
+    return rows.join(wanted, keys, "left_semi")
 
 
 def distinct_count(df: DataFrame, cols: list[str], alias: str) -> DataFrame:

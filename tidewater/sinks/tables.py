@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import time
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import children, delete_path, scratch_path
+from ..session import children, delete_path, scratch_path, shuffles_removed
+
+#: Codec of tables that the library reads again itself.
+CODEC = "zstd"
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -17,7 +21,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w = w.option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        w.parquet(path)
     return path
 
 
@@ -30,7 +35,27 @@ def materialize(spark: SparkSession, df: DataFrame, name: str,
     which an RDD checkpoint would not.
     """
     path = scratch_path(spark, name)
-    write_table(df, path, partition_by, compression="zstd")
+    write_table(df, path, partition_by, compression=CODEC)
+    return spark.read.parquet(path)
+
+
+def file_slices(table: DataFrame, rows_at_once: int) -> list[DataFrame]:
+    """A stored table as several of whole files each, with about ``rows_at_once`` rows (the count comes from the footers).
+
+    What is computed row by row can so be stored slice by slice: only one slice's shuffle files exist at a time.
+    """
+    files, n = sorted(table.inputFiles()), -(-table.count() // rows_at_once)
+    if n <= 1 or len(files) <= 1:
+        return [table]
+    read = table.sparkSession.read.schema(table.schema)
+    return [read.parquet(*[unquote(f) for f in files[i::n]]) for i in range(min(n, len(files)))]
+
+
+def materialize_slices(spark: SparkSession, slices: list[DataFrame], name: str) -> DataFrame:
+    """All ``slices`` stored in one table, one after the other."""
+    path = scratch_path(spark, name)
+    for part in slices:
+        write_table(part, path, mode="append", compression=CODEC)
     return spark.read.parquet(path)
 
 
@@ -41,8 +66,9 @@ def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = Non
     split by key alone, so all rows of one key lie in one file (a hot key in one task).
     """
     n = [partitions] if partitions else []
-    (df.repartitionByRange(*n, key).sortWithinPartitions(key).write.mode("overwrite")
-       .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
+    with shuffles_removed(df.sparkSession):
+        (df.repartitionByRange(*n, key).sortWithinPartitions(key).write.mode("overwrite")
+           .option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(path))
     return path
 
 
@@ -56,20 +82,26 @@ def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str | Non
         w = w.option("maxRecordsPerFile", lines_per_file)
     if gzip:
         w = w.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-    w.csv(path)
+    with shuffles_removed(df.sparkSession):
+        w.csv(path)
     return path
 
 
-def publish_table(df: DataFrame, path: str, kept: int = 2) -> str:
+def publish_table(df: DataFrame | list[DataFrame], path: str, kept: int = 2) -> str:
     """Fully recomputed table as a new version folder below ``path``.
 
     Readers see a version only once Spark has committed it, so never a half
     written table; the newest ``kept`` versions stay for readers still at work.
+    A list of slices is written one after the other; the last one completes the version.
     """
-    spark = df.sparkSession
+    parts = df if isinstance(df, list) else [df]
+    spark = parts[0].sparkSession
     done = _versions(spark, path)
     number = max(int(time.time() * 1000), int(done[-1][2:]) + 1 if done else 0)
-    df.write.parquet(f"{path}/v={number:015d}")
+    for i, part in enumerate(parts, 1):
+        w = part.write.mode("append" if i > 1 else "errorifexists").option("compression", CODEC)
+        with shuffles_removed(spark):
+            w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", i == len(parts)).parquet(f"{path}/v={number:015d}")
     for name in _versions(spark, path)[:-kept]:
         delete_path(spark, f"{path}/{name}")
     return path
