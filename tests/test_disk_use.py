@@ -6,7 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators.lookups import rows_of_keys
-from tidewater.sinks.tables import materialize, publish_table, read_published
+from tidewater.plans import model
+from tidewater.plans.model import Medallion
+from tidewater.sinks.tables import file_slices, materialize, publish_table, read_published
+
+SF001 = "/root/testdata/sf0.001"
 
 
 def _shuffle_files(spark) -> set[str]:
@@ -44,6 +48,28 @@ def test_few_wanted_keys_move_no_rows(spark, no_broadcast):
     assert rows_of_keys(rows, keys.unionByName(spark.sql("select cast(null as bigint) k")), ["k"]).count() == 200
 
 
+def _rows(df):
+    return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+def test_enriched_lines_are_joined_in_slices(spark, no_broadcast, monkeypatch):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1000")
+    try:
+        m = Medallion(spark, SF001)
+        assert len(m.bronze.inputFiles()) > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    whole = _rows(m.orders_enriched)
+    monkeypatch.setattr(model, "LINES_AT_ONCE", 2000)
+    sliced = m.stored_orders_enriched
+    assert "orders-enriched-" in sliced.inputFiles()[0] and _rows(sliced) == whole
+    assert _rows(m.enriched_lines) == whole
+    assert "Window" not in m.enriched_lines._jdf.queryExecution().sparkPlan().toString()
+    parts = file_slices(m.bronze, 2000)
+    assert len(parts) > 1 and sum(p.count() for p in parts) == m.bronze.count()
+    assert file_slices(m.bronze, 10 ** 9) == [m.bronze]
+
+
 def test_a_version_of_slices_is_seen_whole(spark, tmp_dir):
     path = tmp_dir("sliced")
     publish_table([spark.range(3), spark.range(3, 5), spark.range(5, 9)], path)

@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.tables import materialize
+
 CUSTOMER_ATTRS = ["customer_firstname", "customer_lastname", "customer_segment", "customer_zipcode"]
 PRODUCT_ATTRS = ["product_name", "category_id", "category_name", "is_notavailable"]
 
+#: Lines that are joined at once where the result is stored: their two shuffles take about 250 bytes a line.
+LINES_AT_ONCE = 20_000_000
+
+
+def stored_dimensions(customers_current: DataFrame, products_current: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What lines take from the dimensions, stored: the histories' shuffle files are gone before lines are joined, and
+    the joins are planned with the dimensions' sizes."""
+    spark = customers_current.sparkSession
+    return (materialize(spark, customers_current.select("customer_id", *CUSTOMER_ATTRS), "current-customers"),
+            materialize(spark, products_current.select("product_id", *PRODUCT_ATTRS), "current-products"))
+
 
 def orders_enriched(orders: DataFrame, customers_current: DataFrame,
                     products_current: DataFrame, audit: bool = False) -> DataFrame:

@@ -16,10 +16,10 @@ from ..operators import silver as S
 from ..operators.rules import expect_or_drop
 from ..operators.scd2 import current, scd2
 from ..schemas import CUSTOMER_DIM_KEYS, CUSTOMER_TRACKED, PRODUCT_DIM_KEYS, PRODUCT_TRACKED
-from ..sinks.tables import materialize
+from ..sinks.tables import file_slices, materialize, materialize_slices
 from ..sources.testmap import bronze_from_tables
 from .customers import customers360
-from .enrich import orders_enriched
+from .enrich import LINES_AT_ONCE, orders_enriched, stored_dimensions
 from .products import products360
 
 
@@ -77,10 +77,26 @@ class Medallion:
 
     @property
     def orders_enriched(self) -> DataFrame:
+        """Lazy, over lazy dimensions: a reader that needs neither of them computes neither."""
         return orders_enriched(self.silver_orders, current(self.dim_customers), current(self.dim_products))
 
+    @cached_property
+    def dimensions(self) -> tuple[DataFrame, DataFrame]:
+        return stored_dimensions(current(self.dim_customers), current(self.dim_products))
+
+    @property
+    def enriched_lines(self) -> DataFrame:
+        """``orders_enriched`` over stored dimensions, for readers of some of its columns."""
+        return orders_enriched(self.silver_orders, *self.dimensions)
+
+    @property
+    def stored_orders_enriched(self) -> DataFrame:
+        """``orders_enriched`` with all its columns; more than ``LINES_AT_ONCE`` lines are joined and stored in slices."""
+        parts = [orders_enriched(S.silver_orders(b), *self.dimensions) for b in file_slices(self.bronze, LINES_AT_ONCE)]
+        return parts[0] if len(parts) == 1 else materialize_slices(self.spark, parts, "orders-enriched")
+
     def customers360(self) -> DataFrame:
-        return customers360(self.orders_enriched, ntile_method=self.ntile_method, **self.ntile_kw)
+        return customers360(self.enriched_lines, ntile_method=self.ntile_method, **self.ntile_kw)
 
     def products360(self) -> DataFrame:
-        return products360(self.orders_enriched, ntile_method=self.ntile_method, **self.ntile_kw)
+        return products360(self.enriched_lines, ntile_method=self.ntile_method, **self.ntile_kw)
