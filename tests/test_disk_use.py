@@ -1,13 +1,16 @@
 """What a query leaves on disk while it runs: shuffle files of finished writes, folders that are read no more."""
 
+import glob
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tidewater.operators.lookups import rows_of_keys
 from tidewater.plans import model
 from tidewater.plans.model import Medallion
+from tidewater.session import children, scratch_path, shared_dir
 from tidewater.sinks.tables import file_slices, materialize, publish_table, read_published
 
 SF001 = "/root/testdata/sf0.001"
@@ -18,6 +21,16 @@ def _shuffle_files(spark) -> set[str]:
     return {b for i in range(blocks.size()) if (b := blocks.apply(i).name()).startswith("shuffle_")}
 
 
+def _local(path: str) -> str:
+    return path.removeprefix("file://").removeprefix("file:")
+
+
+def _codecs(path: str) -> set[str]:
+    import pyarrow.parquet as pq
+    files = glob.glob(f"{_local(path)}/**/part-*.parquet", recursive=True)
+    return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+
 @pytest.fixture()
 def no_broadcast(spark):
     name = "spark.sql.autoBroadcastJoinThreshold"
@@ -83,3 +96,19 @@ def test_a_version_of_slices_is_seen_whole(spark, tmp_dir):
     with pytest.raises(Exception, match="a slice fails"):
         publish_table([spark.range(2), spark.range(4).select(fails("id").alias("id"))], path)
     assert read_published(spark, path).count() == 9
+
+
+def _new_folders(spark, before, name):
+    return [f for f in children(spark, f"{shared_dir(spark)}/tidewater") if f.startswith(name) and f not in before]
+
+
+def test_a_stream_of_landing_files_leaves_only_what_is_read(spark):
+    scratch_path(spark, "x")
+    before = children(spark, f"{shared_dir(spark)}/tidewater")
+    out = E.queries()["stream_silver_orders"](spark, SF001)
+    assert out.count() == E.queries()["expect_or_drop"](spark, SF001).count()
+    made = _new_folders(spark, before, "landing-")
+    assert len(made) == 1                               # that of expect_or_drop, which is lazy
+    silver, = _new_folders(spark, before, "silver-orders-")
+    bronze, = _new_folders(spark, before, "bronze-")
+    assert _codecs(f"{shared_dir(spark)}/tidewater/{silver}") == _codecs(f"{shared_dir(spark)}/tidewater/{bronze}") == {"ZSTD"}
