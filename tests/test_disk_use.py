@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tidewater.operators.lookups import rows_of_keys
-from tidewater.plans import model
+from tidewater.plans import model, pipeline
 from tidewater.plans.model import Medallion
 from tidewater.session import children, scratch_path, shared_dir
 from tidewater.sinks.tables import file_slices, materialize, publish_table, read_published
@@ -112,3 +112,13 @@ def test_a_stream_of_landing_files_leaves_only_what_is_read(spark):
     silver, = _new_folders(spark, before, "silver-orders-")
     bronze, = _new_folders(spark, before, "bronze-")
     assert _codecs(f"{shared_dir(spark)}/tidewater/{silver}") == _codecs(f"{shared_dir(spark)}/tidewater/{bronze}") == {"ZSTD"}
+
+
+def test_a_pipeline_run_frees_what_no_later_step_reads(spark, monkeypatch):
+    monkeypatch.setattr(pipeline, "LINES_AT_ONCE", 2000)
+    before = children(spark, f"{shared_dir(spark)}/tidewater")
+    got = E.queries()["pipeline_orders_enriched"](spark, SF001)
+    root, = _new_folders(spark, before, "pipeline-")
+    assert not _new_folders(spark, before, "landing-")
+    assert set(children(spark, f"{shared_dir(spark)}/tidewater/{root}")) == {"_checkpoints", "orders_enriched", "customers360", "products360"}
+    assert got.count() == E.queries()["expect_or_drop"](spark, SF001).count()
